@@ -64,12 +64,14 @@ def estimate(rows: DataFrame, keys: Sequence[str], tasks: int, heavy_limit: int
     `load`) spares the count where it is known already."""
     counts = loads if loads is not None else durable(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("load")), "loads")
     slots = tasks * slots_per_task
-    heavy = {tuple(row[k] for k in keys): int(row["load"]) for row in counts.orderBy(F.desc("load"), *keys).limit(heavy_limit).collect()}
-    listed = _any_of(heavy, keys)
-    rest = counts.where(~listed).groupBy(F.pmod(F.xxhash64(*keys), F.lit(slots)).alias("slot")).agg(F.sum("load").alias("load"))
+    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
     light = [0] * slots
-    for row in rest.collect():  # at most `slots` rows
+    for row in counts.groupBy(slot.alias("slot")).agg(F.sum("load").alias("load")).collect():  # at most `slots` rows
         light[row["slot"]] = int(row["load"])
+    heavy = {}
+    for row in counts.select(*keys, "load", slot.alias("slot")).orderBy(F.desc("load"), *keys).limit(heavy_limit).collect():
+        heavy[tuple(row[k] for k in keys)] = int(row["load"])
+        light[row["slot"]] -= int(row["load"])
     return pack(heavy, light, tasks)
 
 
@@ -128,23 +130,16 @@ def lookup(rows: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "
     1/heavy_limit of the rows. `counts` (keys, n) spares the count. Null keys match none."""
     if counts is None:
         counts = rows.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    heavy = {tuple(row[k] for k in keys): row["n"] for row in counts.where(F.col("n") >= heavy_rows).orderBy(F.desc("n"), *keys).limit(heavy_limit).collect()}
+    heavy = counts.where(F.col("n") >= heavy_rows).orderBy(F.desc("n"), *keys).limit(heavy_limit).select(*keys).collect()
     if not heavy:
         return rows.join(unique, list(keys), how)
-    hot = _any_of(heavy, keys)
-    few = F.broadcast(unique.where(hot))  # at most heavy_limit rows: the side has each key once
-    return rows.where(hot).join(few, list(keys), how).unionByName(rows.where(~hot).join(unique.where(~hot), list(keys), how))
-
-
-def _any_of(listed: Iterable[tuple], keys: Sequence[str]) -> Column:
-    """Whether the row's key is one of those listed; never null."""
-    found = F.lit(False)
-    for key in listed:
-        test = F.lit(True)
-        for name, part in zip(keys, key, strict=True):
-            test = test & F.col(name).eqNullSafe(F.lit(part))
-        found = found | test
-    return found
+    listed = rows.sparkSession.createDataFrame(heavy, T.StructType([T.StructField(k, rows.schema[k].dataType) for k in keys]))
+    few = unique.join(F.broadcast(listed), list(keys), "left_semi")  # at most heavy_limit rows: the side has each key once
+    if how == "left":
+        few = listed.join(F.broadcast(few), list(keys), "left")  # a heavy key the side lacks stays, with nulls
+    hot = rows.join(F.broadcast(few), list(keys), "inner")
+    cold = rows.join(F.broadcast(listed), list(keys), "left_anti").join(unique, list(keys), how)
+    return hot.unionByName(cold)
 
 
 def _all_set(keys: Sequence[str]) -> Column:
