@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.session import durable, parallelism
 
-TASK = "_task"
-SHARD = "_shard"
+TASK = "_ll_task"
+SHARD = "_ll_shard"
 
 
 @dataclass(frozen=True)
@@ -76,45 +76,44 @@ def estimate(rows: DataFrame, keys: Sequence[str], tasks: int, heavy_limit: int
 
 
 def _placed(rows: DataFrame, keys: Sequence[str], packing: Packing) -> DataFrame:
-    """Add `_tasks`, the tasks of the shards of the row's key: one for a light key. The heavy keys come by a broadcast join of at most
+    """Add `_ll_tasks`, the tasks of the shards of the row's key: one for a light key. The heavy keys come by a broadcast join of at most
     heavy_limit rows."""
     slot = F.pmod(F.xxhash64(*keys), F.lit(len(packing.light)))
     light = F.element_at(F.array(*[F.lit(t) for t in packing.light]), (slot + 1).cast("int"))
     if not packing.heavy:
-        return rows.withColumn("_tasks", F.array(light))
+        return rows.withColumn("_ll_tasks", F.array(light))
     kinds = [T.StructField(f"_h_{k}", rows.schema[k].dataType) for k in keys]
-    listed = rows.sparkSession.createDataFrame([(*k, list(t)) for k, t in packing.heavy.items()], T.StructType([*kinds, T.StructField("_heavy", T.ArrayType(T.IntegerType()))]))
+    listed = rows.sparkSession.createDataFrame([(*k, list(t)) for k, t in packing.heavy.items()], T.StructType([*kinds, T.StructField("_ll_heavy", T.ArrayType(T.IntegerType()))]))
     on = F.lit(True)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-    return rows.join(F.broadcast(listed), on, "left").withColumn("_tasks", F.coalesce("_heavy", F.array(light))).drop("_heavy", *[f"_h_{k}" for k in keys])
+    return rows.join(F.broadcast(listed), on, "left").withColumn("_ll_tasks", F.coalesce("_ll_heavy", F.array(light))).drop("_ll_heavy", *[f"_h_{k}" for k in keys])
 
 
 def fragment(rows: DataFrame, keys: Sequence[str], packing: Packing, spread: Sequence[str]) -> DataFrame:
     """Add the shard and the task of each row and move it there, in one shuffle. `spread` are the columns by whose hash a heavy
     key's rows are spread over its shards; rows equal in them stay together, so that distinct counts over them add up."""
-    shard = F.pmod(F.xxhash64(F.lit(7), *spread), F.size("_tasks")).cast("int")
-    placed = _placed(rows, keys, packing).withColumn(SHARD, shard).withColumn(TASK, F.element_at("_tasks", F.col(SHARD) + 1)).drop("_tasks")
+    shard = F.pmod(F.xxhash64(F.lit(7), *spread), F.size("_ll_tasks")).cast("int")
+    placed = _placed(rows, keys, packing).withColumn(SHARD, shard).withColumn(TASK, F.element_at("_ll_tasks", F.col(SHARD) + 1)).drop("_ll_tasks")
     return placed.repartitionById(packing.tasks, F.col(TASK))
 
 
 def replicate(side: DataFrame, keys: Sequence[str], packing: Packing) -> DataFrame:
     """Copy each row of the matching side to the shards of its key: once for a light key, to all its shards for a heavy one."""
-    spread = _placed(side, keys, packing).select(*side.columns, F.posexplode("_tasks").alias(SHARD, TASK))
+    spread = _placed(side, keys, packing).select(*side.columns, F.posexplode("_ll_tasks").alias(SHARD, TASK))
     return spread.repartitionById(packing.tasks, F.col(TASK))
 
 
 def fragment_replicate_join(rows: DataFrame, side: DataFrame, keys: Sequence[str], spread: Sequence[str], tasks: int | None = None, how: str = "inner") -> DataFrame:
     """Equi-join without skew. Null keys match null keys of the side. `how` is inner or left. Columns of the side other than
-    the keys must not clash with those of rows; the result has the columns of rows, those of the side, and the task and shard."""
+    the keys that clash with those of rows get the ending `_side`; the result has the columns of rows, those of the side, and the task and shard."""
     packing = estimate(rows, keys, tasks or parallelism(rows.sparkSession))
     return join_packed(rows, side, keys, spread, packing, how)
 
 
 def join_packed(rows: DataFrame, side: DataFrame, keys: Sequence[str], spread: Sequence[str], packing: Packing, how: str = "inner") -> DataFrame:
     clash = (set(rows.columns) & set(side.columns)) - set(keys)
-    if clash:
-        raise ValueError(f"rename on one side: {sorted(clash)}")
+    side = side.select(*[F.col(c).alias(f"{c}_side") if c in clash else F.col(c) for c in side.columns])
     left = fragment(rows, keys, packing, spread)
     right = replicate(side, keys, packing)
     right = right.select(*[F.col(c).alias(f"_r_{c}") if c in (*keys, TASK, SHARD) else F.col(c) for c in right.columns])
