@@ -85,7 +85,7 @@ def round_trip(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
 _BOUNDARIES = [
     ("heading", re.compile(r"\n[ \t]*(?=#{1,6}[ \t]|\d+(?:\.\d+)*[.)]?[ \t]+\S[^\n]{0,80}\n)")),
     ("paragraph", re.compile(r"\n[ \t\r]*\n+")),
-    ("line", re.compile(r"\n")),
+    ("line", re.compile(r"\n(?![ \t\r]*\n)")),  # not within the empty lines between paragraphs
     ("sentence", re.compile(r"[.!?…][\"'”’)\]]*\s+|[。！？؟۔]\s*")),
 ]
 NAMES = ["end", "heading", "paragraph", "line", "sentence", "word", "token"]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_tools import canonical, fold
 from ledgerloom.operators.balance import lookup
-from ledgerloom.session import durable, scratch
+from ledgerloom.session import durable, parallelism, scratch
 
 ROWS = "source_table string, k1 long, k2 long, keep_id long, copies long"
 
@@ -86,7 +86,9 @@ class DuplicateLedger:
             joined = batch.join(o, ["source_table", "k1", "k2"], "full_outer")
             batch = joined.select("source_table", "k1", "k2", F.least("keep_id", "old_id").alias("keep_id"), (F.coalesce("copies", F.lit(0)) + F.coalesce("old_copies", F.lit(0))).alias("copies"))
         version = 1 + max((int(f.split("/v-")[1].split("/")[0]) for f in latest.values()), default=-1)
-        batch.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{self.path}/v-{version:06d}")
+        # Large buckets are written by several tasks each, as many as the session's shuffles have to spare.
+        parts = max(1, parallelism(self.spark) // self.buckets)
+        batch.withColumn("bucket", bucket).repartition("bucket", F.pmod("k2", F.lit(parts))).write.partitionBy("bucket").mode("overwrite").parquet(f"{self.path}/v-{version:06d}")
 
 
 def copies(keys: DataFrame, ledger: DuplicateLedger) -> DataFrame:
