@@ -113,7 +113,7 @@ def record_of(text: str | None) -> dict | None:
 
 def fold(text: str) -> str:
     """Letters and digits alone, without letter case."""
-    return _NOT_ALNUM.sub("", text).lower()
+    return _NOT_ALNUM.sub("", text).casefold()
 
 
 def canonical(text: str | None) -> str | None:
@@ -133,7 +133,7 @@ def canonical(text: str | None) -> str | None:
 
 def _folded(value):
     if isinstance(value, str):
-        return _NOT_ALNUM.sub("", value).lower()
+        return _NOT_ALNUM.sub("", value).casefold()
     if isinstance(value, dict):
         return {k: _folded(v) for k, v in value.items()}
     if isinstance(value, list):
