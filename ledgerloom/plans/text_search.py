@@ -258,7 +258,7 @@ def resolved_links(spark, folder):
     return rows.select("part_key", urls.resolve_url("evidence_url", "part_link").alias("target"))
 
 
-@query("SELECT doc_id, CASE lower(lang) WHEN 'en-gb' THEN 'en-GB' ELSE lower(lang) END AS tag, left(trim(regexp_replace(text, '[\\x00-\\x20\\x7f]+', ' ', 'g')), 80) AS start FROM documents WHERE lang IS NOT NULL")
+@query("SELECT doc_id, CASE lower(lang) WHEN 'en-gb' THEN 'en-GB' ELSE lower(lang) END AS tag, left(trim(regexp_replace(text, '[\\x00-\\x20\\x7f]+', ' ', 'g'), ' '), 80) AS start FROM documents WHERE lang IS NOT NULL")
 def language_tags(spark, folder):
     return table(spark, folder, "documents").where("lang IS NOT NULL").select("doc_id", identity.language_tag(F.col("lang")).alias("tag"), identity.clean_text(F.col("text"), 80).alias("start"))
 

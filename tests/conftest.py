@@ -12,7 +12,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "
 def spark():
     from ledgerloom.session import build_session
 
-    session = build_session("local[4]", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"})
+    session = build_session("local[4]", "tests", **{"spark.sql.shuffle.partitions": "3", "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
