@@ -123,10 +123,13 @@ def join_packed(rows: DataFrame, side: DataFrame, keys: Sequence[str], spread: S
     return left.join(right.hint("shuffle_hash"), on, how).drop(*[f"_r_{c}" for c in (*keys, TASK, SHARD)])
 
 
-def lookup(rows: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner", counts: DataFrame | None = None, heavy_rows: int = 20_000, heavy_limit: int = 100) -> DataFrame:
+def lookup(rows: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner", counts: DataFrame | None = None, heavy_rows: int = 20_000, heavy_limit: int = 100, n_rows: int | None = None) -> DataFrame:
     """Join rows to a side that has each key once, where a few keys may hold most rows. The heavy_limit most frequent keys, as
     far as they have heavy_rows rows, get their one row broadcast; all others are joined by shuffle, each key with fewer than
-    1/heavy_limit of the rows. `counts` (keys, n) spares the count. Null keys match none."""
+    1/heavy_limit of the rows. `counts` (keys, n) spares the count; n_rows, the number of rows where known, spares looking for heavy keys among so
+    few that none can be. Null keys match none."""
+    if n_rows is not None and n_rows < heavy_rows:
+        return rows.join(unique, list(keys), how)
     if counts is None:
         counts = rows.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     heavy = counts.where(F.col("n") >= heavy_rows).orderBy(F.desc("n"), *keys).limit(heavy_limit).select(*keys).collect()

@@ -89,6 +89,12 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return both.select(adjacency_bucket(F.col("route")).alias("bucket"), "route", "source", "kind", "target")
 
 
+def adjacency_routes(edges: DataFrame) -> DataFrame:
+    """(bucket, route, n_entries): the buckets' contents, the hash being worked out once for each route."""
+    ends = edges.select(F.explode(F.array_distinct(F.array("source", "target"))).alias("route")).groupBy("route").agg(F.count(F.lit(1)).alias("n_entries"))
+    return ends.select(adjacency_bucket(F.col("route")).alias("bucket"), "route", "n_entries")
+
+
 def identifiers(rows: DataFrame, key: str, names: Mapping[str, Column]) -> DataFrame:
     """(identifier, kind, key) of all names of all rows, empty ones left out, each once. An identifier may name several rows: that is data."""
     each = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("identifier")) for k, c in names.items()])
@@ -124,7 +130,7 @@ def one_hop(edges: DataFrame, seeds: DataFrame) -> DataFrame:
 def bounded_bfs(edges: DataFrame, seeds: DataFrame, hops: int = 2, max_nodes: int | None = None) -> DataFrame:
     """(seed, node, hop): nodes within `hops` steps of each seed in either direction, at their least distance, for many seeds at once. With max_nodes, of
     each seed the nearest ones by (hop, node), and truncated says that there were more."""
-    both = edges.select(F.col("source").alias("a"), F.col("target").alias("b")).union(edges.select("target", "source")).distinct()
+    both = edges.select(F.col("source").alias("a"), F.col("target").alias("b")).union(edges.select("target", "source"))  # repeats go with the steps
     reached = seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("hop")).distinct()
     front = reached
     for hop in range(1, hops + 1):

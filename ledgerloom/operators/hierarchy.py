@@ -25,11 +25,12 @@ def page_links(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     clean = lambda c: F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
     names = own.select("content_id", F.explode(F.array(F.struct(F.lit(0).alias("rank"), clean(F.col("content_id")).alias("ref")), F.struct(F.lit(1).alias("rank"), clean(F.col("base_path")).alias("ref")))).alias("n"))
     names = names.where(F.col("n.ref").isNotNull() & (F.col("n.ref") != "")).groupBy(F.col("n.ref").alias("ref")).agg(F.min(F.struct("n.rank", "content_id")).alias("best"))
-    names = durable(names.select("ref", F.col("best.content_id").alias("target")), "page-names")
+    names = names.select("ref", F.col("best.content_id").alias("target"))
     up = own.select("content_id", F.lit(True).alias("up"), F.explode("parent_taxons").alias("ref"))
     down = own.select("content_id", F.lit(False).alias("up"), F.explode(F.concat(F.coalesce("child_taxons", F.array().cast("array<string>")), F.coalesce("second_level_browse_pages", F.array().cast("array<string>")))).alias("ref"))
     refs = up.unionByName(down).select("content_id", "up", clean(F.col("ref")).alias("ref")).where(F.col("ref").isNotNull() & (F.col("ref") != "")).distinct()
-    found = lookup(durable(refs, "page-refs"), names, ["ref"])
+    refs = durable(refs, "page-refs")
+    found = lookup(refs, names, ["ref"], n_rows=refs.count())
     links = found.select(F.when(F.col("up"), F.col("target")).otherwise(F.col("content_id")).alias("parent"), F.when(F.col("up"), F.col("content_id")).otherwise(F.col("target")).alias("child")).distinct()
     return own.select(F.col("content_id").alias("id")).distinct(), links
 
@@ -42,7 +43,7 @@ def resolve(links: DataFrame, stride: int = STRIDE) -> DataFrame:
     cycle. No links give an empty result.
     """
     spark = links.sparkSession
-    links = links.where(F.col("parent").isNotNull() & F.col("child").isNotNull())
+    links = durable(links.where(F.col("parent").isNotNull() & F.col("child").isNotNull()), "tree-links")
     pointers = links.groupBy(F.col("child").alias("node")).agg(F.min("parent").alias("up"))
     roots = links.select(F.col("parent").alias("node")).distinct().join(pointers.select("node"), "node", "left_anti").select("node", F.lit(None).cast("string").alias("up"))
     nodes = pointers.unionByName(roots)
@@ -51,10 +52,11 @@ def resolve(links: DataFrame, stride: int = STRIDE) -> DataFrame:
     nodes = durable(nodes.withColumn("splitter", F.col("up").isNull() | chosen), "tree-nodes")
     flags = nodes.select(F.col("node").alias("up"), F.col("splitter").alias("done"))
     start = nodes.where(F.col("up").isNotNull())
-    walks = lookup(start.select("node", "up"), flags, ["up"]).select("node", F.col("up").alias("at"), "done", F.array("node").alias("steps"))
+    n = nodes.count()
+    walks = lookup(start.select("node", "up"), flags, ["up"], n_rows=n).select("node", F.col("up").alias("at"), "done", F.array("node").alias("steps"))
     walks = durable(walks, "tree-walks")
-    lost = _walk(walks)
-    walks, endless = lost
+    walks, endless = _walk(walks)
+    walks = durable(walks, "tree-walked")
     # The reduced graph: splitters point to the splitter that the walk from them ends at.
     splitters = nodes.where("splitter").select("node", "up")
     reduced = splitters.join(walks.select("node", F.col("at"), "steps"), "node", "left")
@@ -62,7 +64,7 @@ def resolve(links: DataFrame, stride: int = STRIDE) -> DataFrame:
     # A splitter whose walk never ended lies below a splitterless cycle; it isn't in solved, nor is what hangs from it.
     plain = walks.join(splitters.select("node"), "node", "left_anti").select("node", F.col("at").alias("splitter_id"), "steps")
     tops = solved.select(F.col("node").alias("splitter_id"), "root", "path")
-    below = lookup(plain, tops, ["splitter_id"], "left").select("node", "root", F.concat("path", "steps").alias("path"))
+    below = lookup(plain, tops, ["splitter_id"], "left", n_rows=n).select("node", "root", F.concat("path", "steps").alias("path"))
     at_splitters = splitters.select("node").join(solved, "node", "left").select("node", "root", "path")
     caught = endless.join(splitters.select("node"), "node", "left_anti").select("node", F.lit(None).cast("string").alias("root"), F.lit(None).cast("array<string>").alias("path"))
     whole = below.unionByName(at_splitters).unionByName(caught)
@@ -83,15 +85,15 @@ def _walk(walks: DataFrame) -> tuple[DataFrame, DataFrame]:
     left = unfinished.count()
     while left:
         ahead = walks.select(F.col("node").alias("at"), F.col("at").alias("at2"), F.col("done").alias("done2"), F.col("steps").alias("steps2"))
-        moved = lookup(unfinished.select("node", "at", "steps"), ahead, ["at"]).select("node", F.col("at2").alias("at"), F.col("done2").alias("done"), F.concat("steps2", "steps").alias("steps"))
+        moved = lookup(unfinished.select("node", "at", "steps"), ahead, ["at"], n_rows=left).select("node", F.col("at2").alias("at"), F.col("done2").alias("done"), F.concat("steps2", "steps").alias("steps"))
         moved = durable(moved, "tree-walks")
         now = moved.where(~F.col("done")).count()
         parts.append(moved.where("done"))
         unfinished = moved.where(~F.col("done"))
         if now == left:
             return _union(parts), unfinished.select("node")
-        # Ended walks serve as the way ahead too: an unfinished walk may stand on a node whose walk has ended.
-        walks, left = durable(_union(parts).unionByName(unfinished), "tree-ways"), now
+        # Ended walks serve as the way ahead too: an unfinished walk may stand on a node whose walk has ended. All parts are written tables.
+        walks, left = _union([*parts, unfinished]), now
     return _union(parts), walks.where(F.lit(False)).select("node")
 
 
@@ -113,12 +115,11 @@ def _solve(reduced: DataFrame) -> DataFrame:
         # nothing (its target's walk never ended) is dropped, being below a cycle.
         ends = settled.select(F.col("node").alias("at"), "root", "path", F.lit(None).cast("string").alias("at2"), F.lit(None).cast("array<string>").alias("steps2"))
         jumps = pending.select(F.col("node").alias("at"), F.lit(None).cast("string").alias("root"), F.lit(None).cast("array<string>").alias("path"), F.col("at").alias("at2"), F.col("steps").alias("steps2"))
-        moved = durable(lookup(pending, ends.unionByName(jumps), ["at"]), "tree-pointers")
+        moved = durable(lookup(pending, ends.unionByName(jumps), ["at"], n_rows=left), "tree-pointers")
         fresh = moved.where(F.col("root").isNotNull()).select("node", "root", F.concat("path", "steps").alias("path"))
         pending = moved.where(F.col("root").isNull()).select("node", F.col("at2").alias("at"), F.concat("steps2", "steps").alias("steps"))
         parts.append(fresh)
-        settled = durable(_union(parts), "tree-settled")
-        parts = [settled]
+        settled = _union(parts)
         now = pending.count()
         if now == left:
             break  # nothing settled and nothing dropped: what is left goes round in circles

@@ -25,8 +25,9 @@ def query(sql: str | None = None):
     return add
 
 
-def trade_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed edges of the order tables: orders contain parts, parts are supplied by suppliers, orders are placed by customers."""
+def trade_edges(spark: SparkSession, folder: str, distinct: bool = True) -> DataFrame:
+    """Typed edges of the order tables: orders contain parts, parts are supplied by suppliers, orders are placed by customers. Operators that drop repeats
+    themselves take them as they come."""
     node = lambda kind, c: F.concat(F.lit(kind + "/"), c)
     lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     parts = [
@@ -34,7 +35,8 @@ def trade_edges(spark: SparkSession, folder: str) -> DataFrame:
         lines.select(node("part", "l_partkey").alias("source"), F.lit("supplied by").alias("kind"), node("supplier", "l_suppkey").alias("target")),
         orders.select(node("order", "o_orderkey").alias("source"), F.lit("placed by").alias("kind"), node("customer", "o_custkey").alias("target")),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return whole.distinct() if distinct else whole
 
 
 _EDGES = """edges AS (SELECT DISTINCT 'order/' || l_orderkey AS source, 'contains' AS kind, 'part/' || l_partkey AS target FROM lineitem
@@ -51,20 +53,19 @@ _BUCKET = "lower(lpad(to_hex(list_reduce(list_prepend(2166136261::UBIGINT, list_
 
 @query(f"WITH {_EDGES}, a AS (SELECT source AS route, * FROM edges UNION ALL SELECT target, * FROM edges WHERE source <> target), r AS (SELECT route, count(*) AS n FROM a GROUP BY route) SELECT {_BUCKET} AS bucket, CAST(sum(n) AS BIGINT) AS n_entries, count(*) AS n_routes FROM r GROUP BY bucket")
 def adjacency_buckets(spark, folder):
-    entries = graph.adjacency(trade_edges(spark, folder))
-    return entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_entries"), F.countDistinct("route").alias("n_routes"))
+    return graph.adjacency_routes(trade_edges(spark, folder)).groupBy("bucket").agg(F.sum("n_entries").alias("n_entries"), F.count(F.lit(1)).alias("n_routes"))
 
 
 @query(f"WITH {_EDGES} SELECT source, kind, target FROM edges WHERE source IN ('part/17', 'order/100') OR target IN ('part/17', 'order/100')")
 def one_hop(spark, folder):
     seeds = spark.createDataFrame([("part/17",), ("order/100",)], "node string")
-    return graph.one_hop(trade_edges(spark, folder), seeds).select("source", "kind", "target")
+    return graph.one_hop(trade_edges(spark, folder, False), seeds).select("source", "kind", "target")
 
 
 @query(f"WITH {_EDGES}, hit AS (SELECT * FROM edges WHERE source = 'part/17' OR target = 'part/17') SELECT source, kind, target FROM hit WHERE kind IN ('supplied by')")
 def bucket_traverse(spark, folder):
     """One node's edges of some kinds, by its adjacency bucket: a reader that holds the buckets as partitions reads one of them."""
-    entries = graph.adjacency(trade_edges(spark, folder))
+    entries = graph.adjacency(graph.one_hop(trade_edges(spark, folder, False), spark.createDataFrame([("part/17",)], "node string")))
     bucket = spark.range(1).select(adjacency_bucket(F.lit("part/17"))).first()[0]
     return entries.where((F.col("bucket") == bucket) & (F.col("route") == "part/17") & F.col("kind").isin("supplied by")).select("source", "kind", "target")
 
@@ -74,7 +75,7 @@ def bucket_traverse(spark, folder):
  SELECT seed, node, min(hop) AS hop FROM (SELECT seed, seed AS node, 0 AS hop FROM s UNION ALL SELECT *, 1 FROM h1 UNION ALL SELECT *, 2 FROM h2) GROUP BY seed, node""")
 def two_hop(spark, folder):
     seeds = spark.createDataFrame([("customer/5",), ("supplier/3",)], "node string")
-    return graph.bounded_bfs(trade_edges(spark, folder), seeds, 2)
+    return graph.bounded_bfs(trade_edges(spark, folder, False), seeds, 2)
 
 
 @query(f"""WITH {_EDGES}, e AS (SELECT source AS a, target AS b FROM edges UNION SELECT target, source FROM edges), s(seed) AS (VALUES ('customer/5'), ('supplier/3')),
@@ -84,7 +85,7 @@ def two_hop(spark, folder):
 def budgeted_traverse(spark, folder):
     """Nearest 50 nodes of each seed within two steps, with whether there were more: a report of a stated size."""
     seeds = spark.createDataFrame([("customer/5",), ("supplier/3",)], "node string")
-    return graph.bounded_bfs(trade_edges(spark, folder), seeds, 2, 50)
+    return graph.bounded_bfs(trade_edges(spark, folder, False), seeds, 2, 50)
 
 
 @query("""WITH RECURSIVE up AS (SELECT 'nation/' || n_nationkey AS s, 'region/' || n_regionkey AS t FROM nation UNION SELECT 'supplier/' || s_suppkey, 'nation/' || s_nationkey FROM supplier

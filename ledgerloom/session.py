@@ -62,6 +62,13 @@ def durable(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan for costly work on each row: one of fewer partitions than there are cores (a few small files) is dealt out to all of
+    them. A large scan has more partitions than cores, and stays as it is, unmoved."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that no later plan reads."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
