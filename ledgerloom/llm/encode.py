@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import TOKENIZER, Encoder, encoder
+from ledgerloom.session import spread
 
 #: Characters encoded at a time: bounds a worker's memory whatever the size of the Arrow batches.
 CHUNK_CHARS = 4_000_000
@@ -42,7 +43,7 @@ def encode(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], names=["doc_id", "ids"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return spread(documents.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str = TOKENIZER) -> DataFrame:
@@ -74,7 +75,7 @@ def round_trip(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(offsets[1:] - offsets[:-1]), pa.array(same)], names=["doc_id", "n_tokens", "same"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, same boolean")
+    return spread(documents.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, same boolean")
 
 
 # Splitting. A piece ends at a boundary and the next one begins `overlap` tokens before that end. So the ends alone make the chain: from
@@ -222,4 +223,4 @@ def split_oversized(documents: DataFrame, limit: int = 1024, overlap: int = 64,
                     columns = [doc_ids.take(pa.array([a + i for i in at])), i32(no), i32(begin), i32(end), i32(n), pa.array(boundary), i32(char_a), i32(char_b), pa.array(text, pa.string()), i32(tokens)]
                     yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in PIECES.split(", ")])
 
-    return documents.select("doc_id", "text").where(F.octet_length("text") > limit).mapInArrow(run, schema)
+    return spread(documents.select("doc_id", "text").where(F.octet_length("text") > limit)).mapInArrow(run, schema)

@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import spread
+
 #: Consecutive words that make a leak.
 LEAST = 12
 #: Words of one shard: some 200 MB of arrays while its suffix array is made.
@@ -185,7 +187,7 @@ def leaks(documents: DataFrame, items: DataFrame, least: int = LEAST, block_char
     for block in range(blocks):
         rows = sized.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()  # about block_chars characters
         tests = spark.sparkContext.broadcast(TestSuffixes([(r["item_id"], r["text"]) for r in rows], least))
-        part = documents.select("doc_id", "text").where(F.length("text") >= 2 * least - 1).mapInArrow(_searcher(tests, kinds), schema)
+        part = spread(documents.select("doc_id", "text").where(F.length("text") >= 2 * least - 1)).mapInArrow(_searcher(tests, kinds), schema)
         found = part if found is None else found.unionByName(part)
     return found
 

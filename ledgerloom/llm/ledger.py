@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_tools import canonical, fold
 from ledgerloom.operators.balance import lookup
-from ledgerloom.session import durable, parallelism, scratch
+from ledgerloom.session import durable, parallelism, scratch, spread
 
 ROWS = "source_table string, k1 long, k2 long, keep_id long, copies long"
 
@@ -39,14 +39,14 @@ def canonical_keys(rows: DataFrame) -> DataFrame:
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch.column("source_table"), batch.column("id"), pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["source_table", "id", "k1", "k2"])
 
-    return rows.select("source_table", F.col("id").cast("long").alias("id"), "fields", "json").mapInArrow(run, "source_table string, id long, k1 long, k2 long")
+    return spread(rows.select("source_table", F.col("id").cast("long").alias("id"), "fields", "json")).mapInArrow(run, "source_table string, id long, k1 long, k2 long")
 
 
 class DuplicateLedger:
     """A folder of versions, each holding the buckets that its batch touched; of a bucket the latest version counts. A version counts once
     Spark has committed it (_SUCCESS), so an update that fails half way leaves the ledger as it was, and may be run again."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16):
         self.spark, self.path, self.buckets = spark, path or scratch(spark, "ledger"), buckets
 
     def _latest(self) -> dict[int, str]:
