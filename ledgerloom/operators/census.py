@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerloom.functions.identity import candidate_key
 
@@ -84,6 +83,7 @@ def linked_only(memberships: Column, allowed: Sequence[str]) -> Column:
 
 
 def held_out(rows: DataFrame, group: str, every: int = 5) -> DataFrame:
-    """Every fifth group by its order, by number of distinct groups before it: (group, held_out)."""
-    once = rows.select(group).distinct()
-    return once.withColumn("held_out", (F.dense_rank().over(Window.orderBy(group)) - 1) % every == 0)
+    """Every fifth group by its order, by number of distinct groups before it: (group, held_out). Groups are numbered without being brought together."""
+    from ledgerloom.operators.windows import dense_ordinal
+
+    return dense_ordinal(rows.select(group).distinct(), [group], "_place").select(group, (F.col("_place") % every == 0).alias("held_out"))

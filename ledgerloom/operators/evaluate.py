@@ -43,7 +43,8 @@ def confusion(rows: DataFrame, by: Sequence[str], expected: Column, observed: Co
 
 
 def percentiles(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
-    """Nearest-rank percentiles (the smallest value with at least that share of the rows up to it); nulls don't count."""
+    """Nearest-rank percentiles (the smallest value with at least that share of the rows up to it); nulls don't count. Exact: a group's buffer
+    holds each of its distinct values once, combined before the shuffle."""
     return rows.groupBy(*by).agg(*[F.expr(f"percentile_disc({s}) WITHIN GROUP (ORDER BY {value})").alias(f"p{round(s * 100)}") for s in shares], F.count(value).alias("n"))
 
 

@@ -50,9 +50,13 @@ def lexicon(found: DataFrame) -> DataFrame:
 
 
 def capped(found: DataFrame, cap: int = POSTING_CAP) -> DataFrame:
-    """The cap best postings of each token by (score desc, ordinal), with the rank. Spark keeps only the cap best of each task before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("score"), "ordinal"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= cap)
+    """The cap best postings of each token by (score desc, ordinal), with the rank. Each task passes on its own best only: Spark sees to that for small caps; for larger ones the best of
+    16 parts of each token are taken first, so a token that all records hold brings at most 16 times cap rows together."""
+    best = [F.desc("score"), F.col("ordinal")]
+    if cap > 1000:  # what Spark's own limit before the shuffle goes up to
+        part = F.pmod(F.xxhash64("ordinal"), F.lit(16))
+        found = found.withColumn("_part", part).withColumn("_rank", F.row_number().over(Window.partitionBy("token", "_part").orderBy(*best))).where(F.col("_rank") <= cap).drop("_part", "_rank")
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("token").orderBy(*best))).where(F.col("rank") <= cap)
 
 
 def prefixes(terms: DataFrame, cap: int = PREFIX_CAP) -> DataFrame:

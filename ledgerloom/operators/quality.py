@@ -133,9 +133,15 @@ def tree_differences(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select("path", difference.alias("difference")).where(F.col("difference").isNotNull())
 
 
-def ordered_digest(rows: DataFrame, by: Sequence[str], line: Column) -> DataFrame:
-    """(by, n, digest) of the set of lines of each group, whatever order and partitions they come in. A tree of two levels: lines go to 256 leaves by the first byte of their
-    hash, a leaf's digest is that of its sorted line hashes, the group's that of its leaves' digests in order. No line text is moved, only its hash."""
-    leaf = rows.select(*by, F.sha2(line, 256).alias("h")).withColumn("leaf", F.left("h", F.lit(2)))
-    leaves = leaf.groupBy(*by, "leaf").agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("d"))
-    return leaves.groupBy(*by).agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("leaf", "d"))), lambda x: x["d"]), ""), 256).alias("digest"))
+def ordered_digest(rows: DataFrame, by: Sequence[str], line: Column, levels: Sequence[int] = (6, 4, 2)) -> DataFrame:
+    """(by, n, digest) of the multiset of lines of each group, whatever order and partitions they come in. A hash tree: lines go to leaves by the first digits of their hash, a leaf's
+    digest is that of its sorted line hashes, a node's that of its children's in order. With six digits a leaf of a thousand million lines has some sixty; a node has at most 256 children.
+    No line is moved, only its hash. Lines repeated very often are counted before the shuffle."""
+    counted = rows.select(*by, F.sha2(line, 256).alias("h")).groupBy(*by, "h").agg(F.count(F.lit(1)).alias("k"))
+    node = counted.select(*by, F.left("h", F.lit(levels[0])).alias("p"), F.col("h").alias("o"), F.concat_ws("*", "h", "k").alias("d"), F.col("k").alias("n"))
+    for width in (*levels[1:], 0, None):
+        children = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "d"))), lambda x: x["d"]), "")
+        node = node.groupBy(*by, "p").agg(F.sum("n").alias("n"), F.sha2(children, 256).alias("d"))
+        if width is not None:
+            node = node.select(*by, F.left("p", F.lit(width)).alias("p"), F.col("p").alias("o"), "d", "n")
+    return node.select(*by, "n", F.col("d").alias("digest"))

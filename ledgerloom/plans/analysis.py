@@ -249,10 +249,11 @@ def tree_differences(spark, folder):
     return quality.tree_differences(side("t0_enumeration"), side("t1_enumeration"))
 
 
-@query("""WITH l AS (SELECT o_orderstatus, sha256(o_orderkey || '|' || o_custkey) AS h FROM orders), v AS (SELECT o_orderstatus, left(h, 2) AS leaf, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS d FROM l GROUP BY ALL)
- SELECT o_orderstatus, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(d, '' ORDER BY leaf)) AS digest FROM v GROUP BY o_orderstatus""")
+@query("""WITH c AS (SELECT o_orderstatus AS g, sha256(o_orderpriority || '|' || o_custkey) AS h, count(*) AS k FROM orders GROUP BY ALL),
+ v6 AS (SELECT g, left(h, 6) AS p, sum(k) AS n, sha256(string_agg(h || '*' || k, '' ORDER BY h)) AS d FROM c GROUP BY ALL), v4 AS (SELECT g, left(p, 4) AS q, sum(n) AS n, sha256(string_agg(d, '' ORDER BY p)) AS d FROM v6 GROUP BY ALL),
+ v2 AS (SELECT g, left(q, 2) AS r, sum(n) AS n, sha256(string_agg(d, '' ORDER BY q)) AS d FROM v4 GROUP BY ALL) SELECT g AS o_orderstatus, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(d, '' ORDER BY r)) AS digest FROM v2 GROUP BY g""")
 def ordered_digest(spark, folder):
-    return quality.ordered_digest(table(spark, folder, "orders"), ["o_orderstatus"], F.concat_ws("|", "o_orderkey", "o_custkey"))
+    return quality.ordered_digest(table(spark, folder, "orders"), ["o_orderstatus"], F.concat_ws("|", "o_orderpriority", "o_custkey"))
 
 
 @query("SELECT coverage_disposition, max(retrieved) AS watermark FROM (SELECT coverage_disposition, json_extract_string(input_json, '$.retrieved_at') AS retrieved FROM work_items) WHERE regexp_matches(retrieved, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z$') GROUP BY coverage_disposition")

@@ -65,6 +65,8 @@ def durable(df: DataFrame, what: str) -> DataFrame:
 def spread(scan: DataFrame) -> DataFrame:
     """A scan for costly work on each row: one of fewer partitions than there are cores (a few small files) is dealt out to all of
     them. A large scan has more partitions than cores, and stays as it is, unmoved."""
+    if "AdaptiveSparkPlan" in scan._jdf.queryExecution().executedPlan().toString():
+        return scan  # comes out of a shuffle, whose partitions were chosen already
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 

@@ -21,7 +21,7 @@ def sitemap_entries(rows: DataFrame, key: str, xml: str) -> DataFrame:
     for kind, tag in (("url", "url"), ("sitemap", "sitemap")):
         entry = rows.where(F.col(xml).contains(f"{tag}>")).select(key, F.lit(kind).alias("kind"), at(tag, "loc").alias("locs"), at(tag, "lastmod").alias("mods"))
         same = F.size("locs") == F.size("mods")  # a missing lastmod leaves no gap in the list, so dates count only if all have one
-        parts.append(entry.select(key, "kind", F.posexplode("locs").alias("i", "loc"), "mods", same.alias("same")).select(key, "kind", F.trim("loc").alias("loc"), F.when(F.col("same"), F.get("mods", F.col("i"))).alias("lastmod")))
+        parts.append(entry.select(key, "kind", F.posexplode("locs").alias("_pos", "loc"), "mods", same.alias("same")).select(key, "kind", F.trim("loc").alias("loc"), F.when(F.col("same"), F.get("mods", F.col("_pos"))).alias("lastmod")))
     return parts[0].unionByName(parts[1])
 
 
