@@ -37,11 +37,21 @@ def field_tokens(rows: DataFrame, ordinal: str, fields: Mapping[str, Column]) ->
 
 def postings(rows: DataFrame, ordinal: str, fields: Mapping[str, Column]) -> DataFrame:
     """(token, ordinal, score, mask, shard): score is the sum of the weights of the fields that hold the token, mask their bits. All tokens of a record
-    come from its one row, so they are combined without a shuffle of text; ordinals must be unique."""
-    weight = F.create_map(*[x for k, v in FIELDS.items() for x in (F.lit(k), F.lit(v[0]))])
-    bit = F.create_map(*[x for k, v in FIELDS.items() for x in (F.lit(k), F.lit(v[1]))])
-    found = field_tokens(rows, ordinal, fields).groupBy("token", "ordinal").agg(F.sum(weight[F.col("field")]).cast("int").alias("score"), F.bit_or(bit[F.col("field")]).alias("mask"))
-    return found.withColumn("shard", search_shard(F.col("token")))
+    come from its one row, so they are combined within it: building the index shuffles nothing. Ordinals must be unique."""
+    none = F.array().cast("array<string>")
+    held = rows.select(F.col(ordinal).alias("ordinal"), *[F.coalesce(tokens(c), none).alias(f"_{f}") for f, c in fields.items()])
+
+    def combined(token: Column) -> Column:
+        score = mask = F.lit(0)
+        for f in fields:
+            weight, bit = FIELDS[f]
+            inside = F.array_contains(F.col(f"_{f}"), token)
+            score, mask = score + F.when(inside, weight).otherwise(0), mask + F.when(inside, bit).otherwise(0)
+        return F.struct(token.alias("token"), score.alias("score"), mask.alias("mask"))
+
+    every = F.array_distinct(F.concat(*[F.col(f"_{f}") for f in fields]))
+    found = held.select("ordinal", F.explode(F.transform(every, combined)).alias("p"))
+    return found.select("p.token", "ordinal", "p.score", "p.mask", search_shard(F.col("p.token")).alias("shard"))
 
 
 def lexicon(found: DataFrame) -> DataFrame:
