@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import STOP_WORDS, TOKEN
 from ledgerloom.llm import encode, frequency, leakage, ledger
 from ledgerloom.session import durable, table
 
@@ -69,5 +70,29 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_records, p5_found, p5_terms, p8_ids, p8_decoded, p9_found, p9_leaks, p9_clean, p10_found, p10_pieces)}
 
-#: DuckDB can't fold within JSON, run a transducer or search suffix arrays; those queries are tested against brute force.
-SQL: dict[str, str] = {}
+def _fold(column: str) -> str:
+    """NFKD without marks, as far as these data need it: full-width letters and digits are the compatibility characters that strip_accents leaves."""
+    wide = [*range(0xFF10, 0xFF1A), *range(0xFF21, 0xFF3B), *range(0xFF41, 0xFF5B)]
+    return f"strip_accents(translate({column}, '{''.join(map(chr, wide))}', '{''.join(chr(c - 0xFEE0) for c in wide)}'))"
+
+
+def _grams(key: str, name: str) -> str:
+    words = f"SELECT {key}, regexp_extract_all(lower({_fold('text')}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {name} WHERE text IS NOT NULL"
+    return f"(SELECT {key}, list_slice(w, CAST(i AS BIGINT), CAST(i + 11 AS BIGINT)) AS g FROM ({words}), range(1, 20000) r(i) WHERE i + 11 <= len(w))"
+
+
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_TERMS = f"""
+WITH once AS (SELECT posting_id, any_value(token) AS token, any_value(rid) AS rid, any_value(tf) AS tf FROM be GROUP BY posting_id),
+ runs AS (SELECT posting_id, rid, tf, regexp_extract_all(lower(regexp_replace({_fold("token")}, '[^\\x00-\\x7F]', '', 'g')), '{TOKEN}') AS r FROM once),
+ rows AS (SELECT posting_id, rid, tf, unnest(list_distinct(list_transform(r, lambda t: regexp_replace(t, '^[._-]+|[._-]+$', '', 'g')))) AS token FROM runs),
+ n AS (SELECT count(DISTINCT rid) AS n_records FROM be),
+ g AS (SELECT token, CAST(sum(coalesce(tf, 0)) AS BIGINT) AS occurrences, count(DISTINCT rid) AS records FROM rows WHERE length(token) >= 2 AND token NOT IN ({_STOP}) GROUP BY token),
+ t AS (SELECT *, CASE WHEN records <= 2 THEN 'rare' WHEN records * 5 >= n_records THEN 'common' END AS mark FROM g, n)
+"""
+#: DuckDB can't fold within JSON, run a transducer or decode one; those queries are tested against brute force and two libraries.
+SQL: dict[str, str] = {
+    "p5_terms": _TERMS + "SELECT token, occurrences, records, n_records, mark FROM t",
+    "p5_found": _TERMS + "SELECT token, mark FROM t WHERE mark IS NOT NULL",
+    "p9_found": f"WITH d AS {_grams('doc_id', 'documents')}, e AS {_grams('item_id', 'eval_items')} SELECT DISTINCT doc_id, item_id FROM d JOIN e USING (g)",
+}
