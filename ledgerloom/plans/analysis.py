@@ -274,12 +274,12 @@ def host_topology(spark, folder):
 
 
 def _pages(spark, folder):
-    """Pages made of documents: links, a script that is no text, JSON-LD."""
-    rows = table(spark, folder, "documents").where("text IS NOT NULL AND base_path IS NOT NULL")
-    title = F.regexp_replace(F.left("text", F.lit(60)), r"[^A-Za-z ]", "")
+    """A page made of each document, whatever it lacks: its whole text, escaped, as a link where it has a path; a script that is no text, JSON-LD. A null text has a null page."""
+    rows = table(spark, folder, "documents")
+    path, body = web.escaped(F.col("base_path")), web.escaped(F.col("text"))
     page = F.concat(
-        F.lit('<html lang="'), F.coalesce("lang", F.lit("")), F.lit('"><head><script type="application/ld+json">{"@type": "WebPage"}</script><style>b {}</style></head><body><a href="'), "base_path", F.lit('">'), title,
-        F.lit('</a> &amp; more <script>x()</script>, end<img src="/media/'), F.col("doc_id").cast("string"), F.lit('.png"></body></html>'),
+        F.lit('<html lang="'), F.coalesce(web.escaped(F.col("lang")), F.lit("")), F.lit('"><head><script type="application/ld+json">{"@type": "WebPage"}</script><style>b {}</style></head><body>'),
+        F.coalesce(F.concat(F.lit('<a href="'), path, F.lit('">'), body, F.lit("</a>")), body), F.lit(' &amp; more <script>x()</script>, end<img src="/media/'), F.col("doc_id").cast("string"), F.lit('.png"></body></html>'),
     )
     return rows.select("doc_id", page.alias("html"))
 

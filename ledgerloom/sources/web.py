@@ -96,6 +96,13 @@ def _types(value, found: list[str]) -> None:
             todo.extend(v)
 
 
+def escaped(text: Column) -> Column:
+    """A text as it stands in HTML, between tags or in a quoted attribute."""
+    for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(mark), F.lit(entity))
+    return text
+
+
 PAGE = "language string, text string, links array<struct<tag:string,href:string,rel:string,type:string>>, types array<string>"
 
 
