@@ -161,7 +161,7 @@ def topological_levels(spark, folder):
 @query(f"""WITH {_EDGES}, h AS (SELECT 'part/17' AS centre, * FROM edges WHERE source = 'part/17' OR target = 'part/17') SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY source, kind, target) - 1 AS INTEGER) AS place FROM h) WHERE place < 20""")
 def centre_view(spark, folder):
     hop = graph.one_hop(trade_edges(spark, folder), spark.createDataFrame([("part/17",)], "node string"))
-    return projection.centre_views(hop.withColumn("centre", F.lit("part/17")), 250, 20)
+    return projection.centre_views(hop.withColumn("centre", F.lit("part/17")), 250, 500)
 
 
 @query()

@@ -29,7 +29,7 @@ ASKED = [
     (1, "seasonal contractor register rules"), (2, "Public notice: claim rules for Ashlode"), (3, "guidance published"), (4, "zzzunknown word"), (5, "the of and"),
     (6, "canal"), (7, "Withdraw a partial apprentice"), (8, "detailed_guide en water"), (9, "early-claim-archives quarry dataset"), (10, ""),
 ]
-CAP = 200  # small enough for the data at hand that capped lists occur
+CAP = 200  # of the SQL alone: the queries keep index.POSTING_CAP postings of a token
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,7 +83,7 @@ def token_df(spark, folder):
 
 @query(f"WITH {_POSTINGS} SELECT token, ordinal, score, mask, rank FROM lists")
 def postings_topk(spark, folder):
-    return index.capped(index.postings(catalogue(spark, folder), "rid", _fields()), CAP).select("token", "ordinal", "score", "mask", "rank")
+    return index.capped(index.postings(catalogue(spark, folder), "rid", _fields())).select("token", "ordinal", "score", "mask", "rank")
 
 
 _PREFIXES = f"""cut AS (SELECT left(token, CAST(n AS BIGINT)) AS prefix, token, df FROM lexicon, range(3, 13) r(n) WHERE n <= length(token)),
@@ -97,7 +97,7 @@ def prefix_completions(spark, folder):
 
 def _results(spark, folder):
     found = _postings(spark, folder)
-    return index.search(_asked(spark), index.capped(found, CAP), index.lexicon(found), cap=CAP)
+    return index.search(_asked(spark), index.capped(found), index.lexicon(found))
 
 
 @query(f"""WITH {_SEARCH} SELECT query_id, ordinal, CAST(search_score AS BIGINT) AS search_score, matched_tokens, rank, r.open, r.title,
@@ -143,7 +143,7 @@ def prefix_group_search(spark, folder):
     terms = index.lexicon(found)
     asked = spark.createDataFrame([(1, "canal"), (1, "licens"), (2, "quarr"), (2, "seasonal"), (3, "zzz")], "query_id int, token string")
     groups = index.expand_missing(asked, terms, index.prefixes(terms))
-    return index.grouped_search(groups, index.capped(found, CAP)).select("query_id", "ordinal", F.col("score").cast("long").alias("score"), "rank")
+    return index.grouped_search(groups, index.capped(found)).select("query_id", "ordinal", F.col("score").cast("long").alias("score"), "rank")
 
 
 @query(f"""WITH {_RECORDS}, {_ASKED}, spread AS (SELECT rid AS ordinal, {_RUNS.format("concat_ws(' ', title, description)")} AS ts FROM records_once),

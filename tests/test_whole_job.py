@@ -1,7 +1,12 @@
 """Queries over small tables of their own, against brute force: what a cut of the input or of a list would lose."""
 
+import itertools
+import random
 import re
 
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import index
 from ledgerloom.plans import catalogue
 
 
@@ -27,3 +32,47 @@ def test_pages_hold_whole_documents(spark, tmp_path):
     links = sorted((r["doc_id"], r["position"], r["tag"], r["href"]) for r in catalogue.QUERIES["html_links"](spark, folder).collect())
     want = [(k, [x for x in [("a", paths[k]), ("img", f"/media/{k}.png")] if x[1]]) for k, t in texts.items() if t is not None]
     assert links == [(k, i, *x) for k, own in want for i, x in enumerate(own)]
+
+
+RECORD = "rid long, open string, title string, publisher string, description string, document_type string, schema_name string, url string, language string, lifecycle string"
+
+
+def test_long_lists_are_searched_whole(spark, tmp_path):
+    """All records of few tokens, more than the SQL's 200 and fewer than the 2,000 of each: those that hold both tokens are the last of the one list."""
+    titles = [" ".join(["canal"] + ["seasonal"] * (i >= 300) + ["contractor", "quarry"] * (i < 310)) for i in range(700)]
+    folder = put(spark, tmp_path, "records", [(i, f"o{i}", t, *[None] * 7) for i, t in enumerate(titles)], RECORD)
+    lists = {r["token"]: r["n"] for r in catalogue.QUERIES["postings_topk"](spark, folder).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert lists == {"canal": 700, "seasonal": 400, "contractor": 310, "quarry": 310}
+    both = list(range(300, 310))
+    found = catalogue.QUERIES["keyword_search"](spark, folder).where("query_id = 1").orderBy("rank").collect()
+    assert [r["ordinal"] for r in found] == both and {r["matched_tokens"] for r in found} == {2}
+    counts = {r["query_id"]: r["n_results"] for r in catalogue.QUERIES["search_answerability"](spark, folder).collect()}
+    assert counts[1] == 10 and counts[6] == 20
+    grouped = catalogue.QUERIES["prefix_group_search"](spark, folder).where("query_id = 2").orderBy("rank").collect()
+    assert [r["ordinal"] for r in grouped] == both
+
+
+def test_capped_lists_equal_brute_force(spark):
+    """A lowered cap, so that short lists are capped: which tokens are complete, candidates, scores."""
+    rng, cap = random.Random(5), 3
+    post = {t: {o: (rng.choice([4, 16]), rng.choice([1, 4])) for o in rng.sample(range(8), n)} for t, n in [("aa", 2), ("bb", 3), ("cc", 5), ("dd", 7)]}
+    best = {t: sorted(p, key=lambda o: (-p[o][0], o))[:cap] for t, p in post.items()}
+    asked = [(i, " ".join(c)) for i, c in enumerate(c for n in range(1, 5) for c in itertools.combinations(["aa", "bb", "cc", "dd"], n))]
+    want = []
+    for i, text in asked:
+        ts = text.split()
+        whole = [t for t in ts if len(post[t]) <= cap]
+        sets = [set(best[t]) for t in whole] or [set(best[min(ts, key=lambda t: (len(post[t]), t))])]
+        at = set.intersection(*sets) or set.union(*sets)
+        score = {o: sum(post[t][o][0] + 4 * (post[t][o][1] == 1) for t in ts if o in best[t]) for o in at}
+        want += [(i, o, score[o], k) for k, o in enumerate(sorted(at, key=lambda o: (-score[o], o)), 1)]
+    rows = spark.createDataFrame([(t, o, s, m) for t, p in post.items() for o, (s, m) in p.items()], "token string, ordinal int, score int, mask int")
+    found = index.search(spark.createDataFrame(asked, "query_id int, text string"), index.capped(rows, cap), index.lexicon(rows), cap=cap)
+    assert sorted((r["query_id"], r["ordinal"], r["search_score"], r["rank"]) for r in found.collect()) == sorted(want)
+
+
+def test_view_shows_up_to_its_limits(spark, tmp_path):
+    put(spark, tmp_path, "lineitem", [(k, 17, 1) for k in range(30)], "l_orderkey long, l_partkey long, l_suppkey long")
+    folder = put(spark, tmp_path, "orders", [(k, 1) for k in range(30)], "o_orderkey long, o_custkey long")
+    shown = catalogue.QUERIES["centre_view"](spark, folder).collect()
+    assert len(shown) == 31 and {r["source"] for r in shown} == {"part/17", *(f"order/{k}" for k in range(30))}
