@@ -108,6 +108,41 @@ def canonical_sha256(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
+def timestamp_key(text: str) -> tuple[int, float, str]:
+    """(validity, epoch seconds, text): ISO forms as datetime.fromisoformat reads them are valid, UTC where they state no zone."""
+    from datetime import UTC, datetime
+
+    try:
+        at = datetime.fromisoformat(text.replace("Z", "+00:00"))
+        return 1, (at if at.tzinfo else at.replace(tzinfo=UTC)).timestamp(), text
+    except (ValueError, OverflowError):
+        return 0, 0.0, text
+
+
+@F.pandas_udf(T.StructType([T.StructField("valid", T.IntegerType()), T.StructField("epoch", T.DoubleType()), T.StructField("raw", T.StringType())]))
+def latest_retrieval(texts: pd.Series) -> pd.DataFrame:
+    """The greatest timestamp_key of retrieved_at and of closing_evidence[].retrieved_at of JSON records; that of an empty text for what states none or is no JSON object."""
+    from functools import lru_cache
+
+    from ledgerloom.functions.json_tools import opened, record_of
+
+    key = lru_cache(maxsize=65_536)(timestamp_key)
+
+    def one(text: str | None) -> tuple[int, float, str]:
+        record = record_of(text) or {}
+        evidence = opened(record.get("closing_evidence"))
+        stated = [record, *(e for e in (evidence if isinstance(evidence, list) else []) if isinstance(e, dict))]
+        valid, epoch, raw = max(key(str(r.get("retrieved_at") or "")) for r in stated)
+        return valid, epoch, raw.encode("utf-8", "replace").decode()
+
+    return pd.DataFrame([one(t) for t in texts], columns=["valid", "epoch", "raw"])
+
+
+def watermark(rows: DataFrame, by: Sequence[str], text: str) -> DataFrame:
+    """(by, watermark): the text of the latest retrieval of each group, by validity, instant and text."""
+    return rows.select(*by, latest_retrieval(text).alias("m")).groupBy(*by).agg(F.max("m")["raw"].alias("watermark"))
+
+
 def audit_items(rows: DataFrame, key: str, mask: str, kind: str) -> DataFrame:
     """(key, mask, observations, kinds): one row per item, its bits of all observations together."""
     return rows.where(F.col(mask) > 0).groupBy(key).agg(F.bit_or(mask).alias("mask"), F.count(F.lit(1)).alias("observations"), F.array_sort(F.collect_set(kind)).alias("kinds"))

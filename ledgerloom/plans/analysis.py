@@ -258,10 +258,8 @@ def ordered_digest(spark, folder):
 
 @query("SELECT coverage_disposition, max(retrieved) AS watermark FROM (SELECT coverage_disposition, json_extract_string(input_json, '$.retrieved_at') AS retrieved FROM work_items) WHERE regexp_matches(retrieved, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z$') GROUP BY coverage_disposition")
 def closing_watermark(spark, folder):
-    """The latest time of each disposition, as its text stood: by validity, instant and text."""
-    rows = table(spark, folder, "work_items").select("coverage_disposition", F.get_json_object("input_json", "$.retrieved_at").alias("raw"))
-    plain = rows.where(F.col("raw").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"))
-    return plain.groupBy("coverage_disposition").agg(F.max(F.struct(F.unix_micros(F.try_to_timestamp("raw")).alias("t"), "raw")).alias("m")).select("coverage_disposition", F.col("m.raw").alias("watermark"))
+    """The latest time of each disposition, its own or of its closing evidence, as its text stood: by validity, instant and text. Texts that are no time sort lowest; without any text it is empty."""
+    return quality.watermark(table(spark, folder, "work_items"), ["coverage_disposition"], "input_json")
 
 
 @query(f"""WITH {_RECORDS}, u AS (SELECT lower(regexp_extract(url, '^\\s*[A-Za-z]+://([^/?#:\\s]+)', 1)) AS host, lower(regexp_extract(url, '^\\s*([A-Za-z]+)://', 1)) AS scheme, open AS route, document_type AS kind FROM records_once),

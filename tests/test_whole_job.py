@@ -1,6 +1,7 @@
 """Queries over small tables of their own, against brute force: what a cut of the input or of a list would lose."""
 
 import itertools
+import json
 import random
 import re
 
@@ -76,3 +77,22 @@ def test_view_shows_up_to_its_limits(spark, tmp_path):
     folder = put(spark, tmp_path, "orders", [(k, 1) for k in range(30)], "o_orderkey long, o_custkey long")
     shown = catalogue.QUERIES["centre_view"](spark, folder).collect()
     assert len(shown) == 31 and {r["source"] for r in shown} == {"part/17", *(f"order/{k}" for k in range(30))}
+
+
+def test_watermark_reads_every_form(spark, tmp_path):
+    def at(own, *evidence):
+        return json.dumps({"retrieved_at": own, "closing_evidence": list(evidence)})
+
+    rows = [
+        ("offset", at("2026-01-01T00:30:00Z")), ("offset", at("2026-01-01T00:00:00-05:00")), ("offset", at("2026-01-01T04:00:00+00:00")),
+        ("fraction", at("2026-01-01T00:00:00.250Z")), ("fraction", at("2026-01-01T00:00:00Z")),
+        ("naive", at("2026-01-01T10:00:00")), ("naive", at("2026-01-01T10:30:00+01:00")), ("date", at("2026-01-02")), ("date", at("2026-01-01T23:59:59Z")),
+        ("nested", at("2026-01-01T00:00:00Z", {"retrieved_at": "2026-03-01T00:00:00Z"}, {"retrieved_at": None}, "zz", {})), ("nested", at("2026-02-01T00:00:00Z")),
+        ("invalid", at("soon")), ("invalid", at("later")), ("mixed", at("zz")), ("mixed", at("2020-01-01")), ("none", "{}"), ("none", "damaged"), ("none", None), (None, at("2026-01-05", {"retrieved_at": "9999"})),
+    ]
+    folder = put(spark, tmp_path, "work_items", rows, "coverage_disposition string, input_json string")
+    got = {r["coverage_disposition"]: r["watermark"] for r in catalogue.QUERIES["closing_watermark"](spark, folder).collect()}
+    assert got == {
+        "offset": "2026-01-01T00:00:00-05:00", "fraction": "2026-01-01T00:00:00.250Z", "naive": "2026-01-01T10:00:00", "date": "2026-01-02", "nested": "2026-03-01T00:00:00Z",
+        "invalid": "soon", "mixed": "2020-01-01", "none": "", None: "2026-01-05",
+    }
