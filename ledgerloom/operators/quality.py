@@ -17,6 +17,15 @@ SECRETS = {
     "data_uri_payload": r"(?i)^data:[^;,]{1,100};base64,",
     "long_base64_payload": r"^[A-Za-z0-9+/]{512,}={0,2}$",
 }
+#: Field names, in small letters with other characters than letters and digits as _, that must not be published.
+BODY_FIELDS = frozenset(
+    "body body_html body_markdown body_text page_body page_html page_markdown page_text raw_body raw_content rendered_body rendered_html source_body source_html attachment_body attachment_bytes"
+    " file_bytes image_bytes media_bytes binary blob base64 payload document_content".split()
+)
+CREDENTIAL_FIELDS = frozenset(
+    "password passwd secret client_secret api_key apikey access_token refresh_token bearer_token authorization proxy_authorization cookie set_cookie private_key ssh_key credential credentials".split()
+)
+STRING_CHARS = 1_048_576
 
 
 def failed_checks(rows: DataFrame, key: str, checks: Mapping[str, Column]) -> DataFrame:
@@ -37,6 +46,48 @@ def secret_scan(rows: DataFrame, key: str, columns: Sequence[str], patterns: Map
     return rows.select(key, F.explode(F.array_compact(F.array(*tests))).alias("f")).select(key, "f.column", "f.pattern")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def record_findings(texts: pd.Series) -> pd.Series:
+    """The names of all findings within JSON texts: SECRETS in each string at any depth, complete HTML documents, strings over STRING_CHARS (not looked at further), and the fields of
+    BODY_FIELDS and CREDENTIAL_FIELDS, whatever their value. Text that is no JSON is one string."""
+    import re
+
+    from ledgerloom.functions.json_tools import loads, opened
+
+    patterns = [(name, re.compile(p)) for name, p in SECRETS.items()]
+
+    def one(text: str | None) -> list[str]:
+        found: set[str] = set()
+        try:
+            todo = [opened(loads(text)) if text else None]
+        except ValueError:
+            todo = [text]
+        while todo:
+            value = todo.pop()
+            if isinstance(value, dict):
+                names = {re.sub(r"[^a-z0-9]+", "_", k.casefold()).strip("_") for k in value}
+                found |= {kind for kind, fields in (("prohibited_body_field", BODY_FIELDS), ("credential_field", CREDENTIAL_FIELDS)) if names & fields}
+                todo.extend(value.values())
+            elif isinstance(value, list):
+                todo.extend(value)
+            elif isinstance(value, str):
+                if len(value) > STRING_CHARS:
+                    found.add("oversized_string")
+                    continue
+                if value.lstrip()[:20].casefold().startswith(("<!doctype html", "<html")):
+                    found.add("complete_html_document")
+                found |= {name for name, p in patterns if p.search(value)}
+        return sorted(found)
+
+    return texts.map(one)
+
+
+def record_scan(rows: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, column, pattern) for each finding of a column of JSON records: those of record_findings, and the patterns found in the text as it stands (in field names too)."""
+    raw = F.array_compact(F.array(*[F.when(F.col(column).rlike(p), F.lit(n)) for n, p in SECRETS.items()]))
+    return rows.select(key, F.lit(column).alias("column"), F.explode(F.array_union(raw, record_findings(column))).alias("pattern"))
+
+
 def trigger_mask(text: Column, triggers: Mapping[str, str]) -> Column:
     """One bit for each trigger pattern found in a text, in the order of the mapping."""
     mask = F.lit(0)

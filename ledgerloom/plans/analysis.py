@@ -214,7 +214,8 @@ def pattern_scan(spark, folder):
 
 @query("SELECT seq, 'raw_json' AS column, 'aws_access_key' AS pattern FROM source_records WHERE regexp_matches(raw_json, '\\bAKIA[0-9A-Z]{16}\\b') OR regexp_matches(raw_json, '-----BEGIN (RSA |EC |OPENSSH )?PRIVATE KEY-----')")
 def secret_scan(spark, folder):
-    return quality.secret_scan(table(spark, folder, "source_records"), "seq", ["raw_json"])
+    """Secrets, payloads and fields that must not be published, at any depth of the source records."""
+    return quality.record_scan(table(spark, folder, "source_records"), "seq", "raw_json")
 
 
 @query()

@@ -96,3 +96,18 @@ def test_watermark_reads_every_form(spark, tmp_path):
         "offset": "2026-01-01T00:00:00-05:00", "fraction": "2026-01-01T00:00:00.250Z", "naive": "2026-01-01T10:00:00", "date": "2026-01-02", "nested": "2026-03-01T00:00:00Z",
         "invalid": "soon", "mixed": "2020-01-01", "none": "", None: "2026-01-05",
     }
+
+
+def test_secrets_at_any_depth_are_found(spark, tmp_path):
+    key = "AKIA" + "Z" * 16
+    deep = lambda v: json.dumps({"details": [{"x": 1}, {"note": ["ok", v]}]})
+    planted = [
+        (deep("Data:image/png;base64,AAAA"), ["data_uri_payload"]), (deep("Zm9v" * 130 + "=="), ["long_base64_payload"]), (deep("  <!DOCTYPE HTML><p>"), ["complete_html_document"]),
+        (deep("<html lang=en>"), ["complete_html_document"]), (deep("x " * 524_289), ["oversized_string"]), (deep("x " * 524_288), []), (deep({"Set-Cookie": None}), ["credential_field"]),
+        (deep({"Body.HTML": "", "api key": "k"}), ["credential_field", "prohibited_body_field"]), (deep(key).replace("AKIA", "\\u0041KIA"), ["aws_access_key"]), (deep("a\n" + key), ["aws_access_key"]),
+        (deep("Authorization:\tBearer abcdefghijkl.m"), ["bearer_credential"]), (deep("-----BEGIN EC PRIVATE KEY-----"), ["private_key_material"]), (json.dumps({key: 1}), ["aws_access_key"]),
+        (json.dumps(deep(key)), ["aws_access_key"]), ("{damaged " + key, ["aws_access_key"]), ("data:a/b;base64,", ["data_uri_payload"]), (deep("see data:a/b;base64,"), []), (deep("body password"), []), ("", []), (None, []),
+    ]
+    folder = put(spark, tmp_path, "source_records", [(i, t) for i, (t, _) in enumerate(planted)], "seq int, raw_json string")
+    got = sorted((r["seq"], r["column"], r["pattern"]) for r in catalogue.QUERIES["secret_scan"](spark, folder).collect())
+    assert got == [(i, "raw_json", name) for i, (_, names) in enumerate(planted) for name in names]
