@@ -26,7 +26,7 @@ def routing_kind(redirects: Column, external: Column, gone: Column) -> Column:
 def normalised(records: DataFrame, key: str, text: str, site: str = "https://www.gov.example") -> DataFrame:
     """Catalogue rows of JSON records: one row per record that is a JSON object, empty fields falling through to the next source. Damaged and other texts give none."""
     host = site.split("://", 1)[1]
-    valid = records.where(F.try_parse_json(F.col(text)).isNotNull() & F.trim(text).startswith("{"))
+    valid = records.where(F.try_parse_json(F.col(text)).isNotNull() & F.col(text).rlike(r"^\s*\{"))
     at = lambda p: F.get_json_object(F.col(text), "$." + p)
     path = first_nonempty(at("base_path"), F.lit("/"))
     url = first_nonempty(at("canonical_url"), F.concat(F.lit(site), path))

@@ -34,10 +34,8 @@ _V = "SELECT * FROM source_records WHERE json_valid(raw_json) AND starts_with(tr
  CASE WHEN red THEN 'redirect' WHEN json_extract(raw_json, '$.withdrawn_notice') IS NOT NULL AND json_extract_string(raw_json, '$.withdrawn_notice') IS NOT NULL THEN 'withdrawn' ELSE 'published' END AS lifecycle,
  coalesce({_AT.format("public_updated_at")}, {_AT.format("updated_at")}, {_AT.format("lastmod")}, {_AT.format("first_published_at")}) AS timestamp FROM p WHERE {_AT.format("title")} IS NOT NULL""")
 def normalised_records(spark, folder):
-    """Source records as catalogue rows (those that state a title)."""
-    rows = projection.normalised(table(spark, folder, "source_records"), "seq", "raw_json")
-    stated = table(spark, folder, "source_records").where(F.get_json_object("raw_json", "$.title") != "").select("seq")
-    return rows.join(stated, "seq", "left_semi").select("seq", "url", "title", "document_type", "schema_name", "language", "lifecycle", "timestamp")
+    """All source records that are JSON objects as catalogue rows; those without a title are named by their path, else Untitled."""
+    return projection.normalised(table(spark, folder, "source_records"), "seq", "raw_json")
 
 
 @query(f"""WITH v AS (SELECT seq, CAST(json_extract_string(raw_json, '$.details.attachments') AS JSON) AS a FROM ({_V}) WHERE starts_with(json_extract_string(raw_json, '$.details.attachments'), '[')),

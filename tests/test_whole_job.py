@@ -1,5 +1,6 @@
 """Queries over small tables of their own, against brute force: what a cut of the input or of a list would lose."""
 
+import hashlib
 import itertools
 import json
 import random
@@ -111,3 +112,23 @@ def test_secrets_at_any_depth_are_found(spark, tmp_path):
     folder = put(spark, tmp_path, "source_records", [(i, t) for i, (t, _) in enumerate(planted)], "seq int, raw_json string")
     got = sorted((r["seq"], r["column"], r["pattern"]) for r in catalogue.QUERIES["secret_scan"](spark, folder).collect())
     assert got == [(i, "raw_json", name) for i, (_, names) in enumerate(planted) for name in names]
+
+
+def test_records_without_a_title_are_rows(spark, tmp_path):
+    texts = [
+        '{"title": "Stated", "base_path": "/a/b", "content_id": "C-1", "description": "d", "locale": "cy", "document_type": "guide", "schema_name": "s", "updated_at": "2026"}',
+        '{"base_path": "/guidance/rent-a-canal/", "redirects": [{"path": "/x"}]}', '\n\t{"title": "", "base_path": "/", "document_type": "gone"}', '{"title": null, "canonical_url": "https://else.example/x", "withdrawn_notice": {"a": 1}}',
+        "[]", "{damaged", '"text"', None,
+    ]
+    folder = put(spark, tmp_path, "source_records", list(enumerate(texts)), "seq int, raw_json string")
+    got = [tuple(r) for r in catalogue.QUERIES["normalised_records"](spark, folder).orderBy("seq").select(
+        "seq", "url", "base_path", "content_id", "title", "description", "document_type", "schema_name", "language", "lifecycle", "routing_kind", "timestamp", "host_kind", "open"
+    ).collect()]
+    route = lambda url: f"dataset/route-{hashlib.sha256(url.encode()).hexdigest()[:24]}-en"
+    site = "https://www.gov.example"
+    assert got == [
+        (0, site + "/a/b", "/a/b", "C-1", "Stated", "d", "guide", "s", "cy", "published", "canonical", "2026", "main", "dataset/c-1-cy"),
+        (1, site + "/guidance/rent-a-canal/", "/guidance/rent-a-canal/", None, "Rent A Canal", "", "unknown", "unknown", "en", "redirect", "redirect", None, "main", route(site + "/guidance/rent-a-canal/")),
+        (2, site + "/", "/", None, "Untitled", "", "gone", "gone", "en", "published", "tombstone", None, "main", route(site + "/")),
+        (3, "https://else.example/x", "/", None, "Untitled", "", "unknown", "unknown", "en", "withdrawn", "canonical", None, "external", route("https://else.example/x")),
+    ]
