@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 
 #: The stop words of the search tokeniser.
 STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "into", "is", "it", "of", "on", "or", "the", "to", "with"]
+#: The stop words of the lexical terms of questions.
+LEXICAL_STOP_WORDS = (
+    "about after again against also and answer are authoritative before being canonical could does every find from give gov govuk have identify into item need official only record result should source that the their"
+    " then this through uk version what when where which with would"
+).split()
 TOKEN = r"[a-z0-9][a-z0-9._-]*"
 
 

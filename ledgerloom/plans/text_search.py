@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import identity, urls
-from ledgerloom.functions.text import STOP_WORDS, TOKEN, tokens
+from ledgerloom.functions.text import LEXICAL_STOP_WORDS, STOP_WORDS, TOKEN, tokens
 from ledgerloom.operators import facets, index
 from ledgerloom.session import durable, table
 
@@ -272,9 +272,9 @@ def quoted_phrases(spark, folder):
 @query("""WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS ws FROM eval_items)
  SELECT item_id, list_slice(list_distinct_in_order, 1, 32) AS terms FROM (SELECT item_id, list_filter(ws, lambda w, i: length(w) >= 2 AND NOT regexp_full_match(w, '[0-9]+') AND list_position(ws, w) = i) AS list_distinct_in_order FROM w)""")
 def lexical_terms(spark, folder):
-    """The first 32 distinct words of two letters or more that aren't numbers, in order."""
+    """The first 32 distinct words of two letters or more that are neither stop words nor numbers, in order."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1))
-    return table(spark, folder, "eval_items").select("item_id", F.slice(F.filter(words, lambda w: (F.length(w) >= 2) & ~w.rlike("^[0-9]+$")), 1, 32).alias("terms"))
+    return table(spark, folder, "eval_items").select("item_id", F.slice(F.filter(words, lambda w: (F.length(w) >= 2) & ~w.isin(LEXICAL_STOP_WORDS) & ~w.rlike("^[0-9]+$")), 1, 32).alias("terms"))
 
 
 @query()

@@ -132,3 +132,11 @@ def test_records_without_a_title_are_rows(spark, tmp_path):
         (2, site + "/", "/", None, "Untitled", "", "gone", "gone", "en", "published", "tombstone", None, "main", route(site + "/")),
         (3, "https://else.example/x", "/", None, "Untitled", "", "unknown", "unknown", "en", "withdrawn", "canonical", None, "external", route("https://else.example/x")),
     ]
+
+
+def test_terms_leave_stop_words_no_place(spark, tmp_path):
+    words = [f"canal{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    items = [(1, " ".join(f"Which {w} should THE" for w in words)), (2, "The version of GOV.UK, which 2024 item a b river River")]
+    folder = put(spark, tmp_path, "eval_items", items, "item_id int, text string")
+    got = {r["item_id"]: r["terms"] for r in catalogue.QUERIES["lexical_terms"](spark, folder).collect()}
+    assert got == {1: words[:32], 2: ["of", "river"]}
