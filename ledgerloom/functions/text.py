@@ -45,3 +45,14 @@ def token_runs(low: Column) -> Column:
 def tokens(column: Column) -> Column:
     """The distinct tokens of a text; null for null."""
     return F.array_distinct(token_runs(folded(column)))
+
+
+@F.pandas_udf(T.StringType())
+def _browser_fold_udf(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not "\u0300" <= c <= "\u036f").lower())
+
+
+def browser_tokens(column: Column) -> Column:
+    """The distinct tokens of a text as the browser takes them: NFKD, of other than ASCII only U+0300 to U+036F dropped, so that letters such as ß, ø and ł part tokens; null for null."""
+    plain = column.rlike(r"^[\x00-\x7f]*$")
+    return F.array_distinct(token_runs(F.when(plain, F.lower(column)).otherwise(_browser_fold_udf(F.when(~plain, column)))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.facets import top_per_key
+from ledgerloom.session import durable
 
 
 def least_cost(cost: np.ndarray) -> np.ndarray:
@@ -89,6 +90,19 @@ def min_hash_sample(rows: DataFrame, identity: Column, k: int) -> DataFrame:
     return rows.withColumn("_h", F.sha2(identity, 256)).orderBy("_h").limit(k).drop("_h")
 
 
+def min_hash_pool(rows: DataFrame, identity: Column, classes: Mapping[str, Column], k: int = 4096, scarce: int | None = None) -> DataFrame:
+    """(identity, classes): the k identities of the smallest hashes, and of each class the `scarce` ones (an eighth of k, 64 at least), so that rare classes are kept; each identity once, with the
+    names of its classes. An identity is of a class if any of its rows is; null identities are left out."""
+    scarce = max(64, k // 8) if scarce is None else scarce
+    marked = rows.select(identity.alias("identity"), *[F.coalesce(c, F.lit(False)).alias(f"_{n}") for n, c in classes.items()]).where("identity IS NOT NULL")
+    held = durable(marked.groupBy("identity").agg(*[F.max(f"_{n}").alias(f"_{n}") for n in classes]), "pool")
+    pool = min_hash_sample(held, F.col("identity"), k)
+    for n in classes:
+        pool = pool.unionByName(min_hash_sample(held.where(F.col(f"_{n}")), F.col("identity"), scarce))
+    names = F.array_compact(F.array(*[F.when(F.col(f"_{n}"), F.lit(n)) for n in classes]))
+    return pool.distinct().select("identity", names.alias("classes"))
+
+
 def stratified_sample(rows: DataFrame, key: str, strata: Sequence[str], size: int) -> DataFrame:
     """(key, how): a representative of each stratum, then the smallest hashes of the rest up to `size` rows. With more strata than `size`, all representatives."""
     first = stratum_representatives(rows, strata, F.col(key), [key]).select(key).distinct().withColumn("how", F.lit("stratum"))

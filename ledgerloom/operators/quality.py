@@ -231,3 +231,22 @@ def ordered_digest(rows: DataFrame, by: Sequence[str], line: Column, levels: Seq
         if width is not None:
             node = node.select(*by, F.left("p", F.lit(width)).alias("p"), F.col("p").alias("o"), "d", "n")
     return node.select(*by, "n", F.col("d").alias("digest"))
+
+
+def index_faults(lists: DataFrame, terms: DataFrame, found: DataFrame, cap: int) -> DataFrame:
+    """(token, fault) of a search index, lists (token, ordinal, score, mask, rank) and terms (token, df), against the postings found again: df that is not the number of postings, a list over the cap,
+    ranks that are not 1, 2, 3 and so on (contiguity), entries not by score descending and ordinal (order), and entries that are missing, not due or of other values (entries)."""
+    from pyspark.sql.window import Window
+
+    from ledgerloom.operators.index import capped
+
+    counted = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    df = terms.select("token", "df").join(counted, "token", "full_outer").where(~F.col("df").eqNullSafe(F.col("n"))).select("token", F.lit("df").alias("fault"))
+    place = F.struct(-F.col("score"), "ordinal")
+    ordered = lists.withColumn("_late", F.lag(place).over(Window.partitionBy("token").orderBy("rank", "ordinal")) >= place)
+    shape = ordered.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("low"), F.max("rank").alias("high"), F.countDistinct("rank").alias("ranks"), F.max("_late").alias("late"))
+    tests = {"cap": F.col("n") > cap, "contiguity": (F.col("low") != 1) | (F.col("high") != F.col("n")) | (F.col("ranks") != F.col("n")), "order": F.col("late")}
+    shaped = shape.select("token", F.explode(F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests.items()]))).alias("fault"))
+    own, due = (x.select("token", "ordinal", F.struct("score", "mask", F.col("rank").cast("int").alias("rank")).alias(n)) for x, n in ((lists, "own"), (capped(found, cap), "due")))
+    entries = own.join(due, ["token", "ordinal"], "full_outer").where(~F.col("own").eqNullSafe(F.col("due"))).select("token", F.lit("entries").alias("fault"))
+    return df.unionByName(shaped).unionByName(entries).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.identity import predicate_name
-from ledgerloom.operators import evaluate, facets, graph, index, packing, projection, snapshots
+from ledgerloom.operators import assign, evaluate, facets, graph, index, packing, projection, snapshots
 from ledgerloom.plans.relations import _EDGES, trade_edges
 from ledgerloom.plans.text_search import _RECORDS, _SEARCH, _asked, _results, catalogue
 from ledgerloom.session import table
@@ -38,6 +38,20 @@ def normalised_records(spark, folder):
     return projection.normalised(table(spark, folder, "source_records"), "seq", "raw_json")
 
 
+@query()
+def anchor_pool(spark, folder):
+    """A min-hash pool of the source records, with those of the scarce classes: links, resources, lifecycle, language."""
+    rows = projection.normalised(table(spark, folder, "source_records"), "seq", "raw_json").join(table(spark, folder, "source_records").select("seq", "raw_json"), "seq")
+    at = lambda p: F.get_json_object("raw_json", "$." + p)
+    holds = lambda p: ~F.coalesce(at(p), F.lit("")).isin("", "[]", "{}", "false", "0")
+    own = F.when(F.col("content_id") != "", F.concat(F.lit("content:"), "content_id", F.lit(":"), "language")).otherwise(F.concat(F.lit("url:"), "url", F.lit(":"), "language"))
+    links = F.exists(F.map_values(F.from_json(at("links"), "map<string,string>")), lambda v: v.rlike(r"^\[\s*[^\]\s]"))
+    return assign.min_hash_pool(
+        rows, own,
+        {"links": links, "resources": holds("details.attachments"), "lifecycle": F.col("document_type").isin("redirect", "gone", "vanish", "substitute") | holds("redirects"), "language": (F.col("language") != "en") | holds("links.available_translations")},
+    )
+
+
 @query(f"""WITH v AS (SELECT seq, CAST(json_extract_string(raw_json, '$.details.attachments') AS JSON) AS a FROM ({_V}) WHERE starts_with(json_extract_string(raw_json, '$.details.attachments'), '[')),
  e AS (SELECT seq, CAST(i AS INTEGER) AS position, json_extract(a, '$[' || i || ']') AS x FROM v, range(0, 50) r(i) WHERE i < json_array_length(a))
  SELECT seq, position, json_extract_string(x, '$.id') AS id, json_extract_string(x, '$.content_type') AS content_type, json_extract_string(x, '$.url') AS url FROM e WHERE regexp_matches(json_extract_string(x, '$.url'), '^https?://')""")

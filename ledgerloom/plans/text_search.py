@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import identity, urls
-from ledgerloom.functions.text import LEXICAL_STOP_WORDS, STOP_WORDS, TOKEN, tokens
-from ledgerloom.operators import facets, index
+from ledgerloom.functions.text import LEXICAL_STOP_WORDS, STOP_WORDS, TOKEN, browser_tokens, tokens
+from ledgerloom.operators import facets, index, quality
 from ledgerloom.session import durable, table
 
 QUERIES: dict = {}
@@ -282,3 +282,16 @@ def evaluation_search(spark, folder):
     """All evaluation items as queries at once, top 10 of each by BM25."""
     asked = table(spark, folder, "eval_items").select(F.col("item_id").alias("query_id"), "text")
     return index.bm25(asked, catalogue(spark, folder), "rid", F.concat_ws(" ", "title", "description"))
+
+
+@query()
+def browser_title_tokens(spark, folder):
+    return catalogue(spark, folder).select("rid", browser_tokens(F.col("title")).alias("tokens"))
+
+
+@query()
+def index_faults(spark, folder):
+    """The index that was written, read again and held against postings made anew; a whole one has no rows."""
+    found = _postings(spark, folder)
+    lists, terms = durable(index.capped(found), "lists"), durable(index.lexicon(found), "terms")
+    return quality.index_faults(lists, terms, index.postings(catalogue(spark, folder), "rid", _fields()), index.POSTING_CAP)

@@ -8,7 +8,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import index
+from ledgerloom.functions import text
+from ledgerloom.operators import assign, index, quality
 from ledgerloom.plans import catalogue
 
 
@@ -140,3 +141,35 @@ def test_terms_leave_stop_words_no_place(spark, tmp_path):
     folder = put(spark, tmp_path, "eval_items", items, "item_id int, text string")
     got = {r["item_id"]: r["terms"] for r in catalogue.QUERIES["lexical_terms"](spark, folder).collect()}
     assert got == {1: words[:32], 2: ["of", "river"]}
+
+
+def test_pool_keeps_scarce_classes(spark, tmp_path):
+    rows = [(f"i{n}", n % 50 == 0, n in (7, 8)) for n in range(400)] + [("i1", False, True), (None, True, True)]
+    df = spark.createDataFrame(rows, "i string, rare boolean, few boolean")
+    first = sorted({r[0] for r in rows if r[0]}, key=lambda i: hashlib.sha256(i.encode()).hexdigest())
+    of = {n: [i for i in first if any(r[c] for r in rows if r[0] == i)] for n, c in (("rare", 1), ("few", 2))}
+    want = {i: [n for n in of if i in of[n]] for i in {*first[:20], *of["rare"][:3], *of["few"][:3]}}
+    got = assign.min_hash_pool(df, F.col("i"), {"rare": F.col("rare"), "few": F.col("few")}, 20, 3).collect()
+    assert len(got) == len(want) and {r["identity"]: r["classes"] for r in got} == want and set(of["few"]) == {"i1", "i7", "i8"}
+    records = ['{"base_path": "/a", "links": {"x": [], "y": [1]}}', '{"base_path": "/b", "links": {"x": []}, "locale": "cy"}', '{"content_id": "c", "details": {"attachments": [{}]}, "document_type": "gone"}', '{"base_path": "/d", "redirects": [{}], "links": {"available_translations": [{}]}}', "[]"]
+    folder = put(spark, tmp_path, "source_records", list(enumerate(records)), "seq int, raw_json string")
+    assert {r["identity"]: r["classes"] for r in catalogue.QUERIES["anchor_pool"](spark, folder).collect()} == {
+        "url:https://www.gov.example/a:en": ["links"], "url:https://www.gov.example/b:cy": ["language"], "content:c:en": ["resources", "lifecycle"], "url:https://www.gov.example/d:en": ["links", "lifecycle", "language"],
+    }
+
+
+def test_browser_tokens(spark):
+    df = spark.createDataFrame([(1, "Café straße smørrebrød Łódź e-mail the CAFE"), (2, "plain Text.v2 plain"), (3, None)], "i int, x string").orderBy("i")
+    assert [r[0] for r in df.select(text.browser_tokens(F.col("x"))).collect()] == [["cafe", "stra", "sm", "rrebr", "odz", "e-mail"], ["plain", "text.v2"], None]
+
+
+def test_index_faults_are_named(spark):
+    found = spark.createDataFrame([(t, o, 20 - o, 1) for t in "abcdef" for o in range(5)], "token string, ordinal int, score int, mask int")
+    lists, terms = index.capped(found, 3), index.lexicon(found)
+    assert quality.index_faults(lists, terms, found, 3).count() == 0
+    rank = F.when(F.col("token") == "b", 4 - F.col("rank")).when((F.col("token") == "c") & (F.col("rank") == 3), 4).otherwise(F.col("rank")).cast("int")
+    score = F.when((F.col("token") == "d") & (F.col("rank") == 1), 99).otherwise(F.col("score"))
+    bad = lists.select("token", "ordinal", score.alias("score"), "mask", rank.alias("rank")).union(spark.createDataFrame([("e", 3, 17, 1, 4)], "token string, ordinal int, score int, mask int, rank int"))
+    wrong = terms.select("token", F.when(F.col("token") == "f", 6).otherwise(F.col("df")).alias("df"))
+    got = {(r["token"], r["fault"]) for r in quality.index_faults(bad, wrong, found, 3).collect()}
+    assert got == {("b", "order"), ("b", "entries"), ("c", "contiguity"), ("c", "entries"), ("d", "entries"), ("e", "cap"), ("e", "entries"), ("f", "df")}
