@@ -30,9 +30,11 @@ def first_seen(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     return stream.dropDuplicates(list(keys))
 
 
-def windowed_counts(stream: DataFrame, time: str, by: Sequence[str], width: str = "1 hour", late: str = "1 day") -> DataFrame:
-    """Counts of tumbling windows, each given once, when the watermark has passed it."""
-    counted = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.window(time, width).alias("w"), *by).agg(F.count(F.lit(1)).alias("n"))
+def windowed_counts(stream: DataFrame, time: str, by: Sequence[str], width: str = "1 hour", late: str | None = "1 day") -> DataFrame:
+    """Counts of tumbling windows: in append mode each given once, when the watermark has passed it; in update mode (run_updates) as they grow, so that open ones are given too.
+    Without `late` no row is too late, and no window leaves the state."""
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    counted = (timed.withWatermark(time, late) if late else timed).groupBy(F.window(time, width).alias("w"), *by).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.col("w.start").alias("window_start"), *by, "n")
 
 
@@ -58,7 +60,7 @@ def task_states(stream: DataFrame, allowed: dict[str, Sequence[str]]) -> DataFra
     return stream.groupBy("task").applyInPandasWithState(advance, OUTPUT, STATE, "update", "NoTimeout")
 
 
-def run_updates(stream: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def run_updates(stream: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Run an update stream to its end and give the last row of each key. Batches go to the shared folder as they come."""
     from ledgerloom.operators.windows import latest
 
@@ -70,4 +72,4 @@ def run_updates(stream: DataFrame, keys: Sequence[str], order: str) -> DataFrame
     query = stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     rows = spark.read.option("recursiveFileLookup", "true").schema(T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])).parquet(f"{path}/rows")
-    return latest(rows, keys, ["_batch", order]).drop("_batch")
+    return latest(rows, keys, ["_batch", order] if order else ["_batch"]).drop("_batch")

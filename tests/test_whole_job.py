@@ -1,16 +1,21 @@
 """Queries over small tables of their own, against brute force: what a cut of the input or of a list would lose."""
 
+import datetime
+import glob
 import hashlib
 import itertools
 import json
+import os
 import random
 import re
+import shutil
 
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.operators import assign, index, quality
 from ledgerloom.plans import catalogue
+from ledgerloom.streaming import queue
 
 
 def put(spark, folder, name, rows, schema):
@@ -173,3 +178,25 @@ def test_index_faults_are_named(spark):
     wrong = terms.select("token", F.when(F.col("token") == "f", 6).otherwise(F.col("df")).alias("df"))
     got = {(r["token"], r["fault"]) for r in quality.index_faults(bad, wrong, found, 3).collect()}
     assert got == {("b", "order"), ("b", "entries"), ("c", "contiguity"), ("c", "entries"), ("d", "entries"), ("e", "cap"), ("e", "entries"), ("f", "df")}
+
+
+def test_stream_gives_open_windows_and_files_in_no_order(spark, tmp_path):
+    days = ["2026-01-09", "2026-01-01", "2026-01-10", "2026-01-01"]
+    schema = "ts timestamp, event_type string"
+    rows = [[(datetime.datetime.fromisoformat(f"{d}T{h:02}:30:00"), e) for h in (0, 1, 23) for e in ("a", "b", None)] for d in days]
+    for i, part in enumerate(rows):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/one{i}")
+        os.makedirs(f"{tmp_path}/in/events.parquet", exist_ok=True)
+        os.rename(glob.glob(f"{tmp_path}/one{i}/part-*.parquet")[0], f"{tmp_path}/in/events.parquet/{i}.parquet")
+        os.utime(f"{tmp_path}/in/events.parquet/{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    batch = spark.read.parquet(f"{tmp_path}/in/events.parquet").groupBy(F.date_trunc("hour", "ts").alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    counts = queue.windowed_counts(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/events.parquet"), "ts", ["event_type"], late=None)
+    order = lambda df: sorted(map(str, df.select("window_start", "event_type", "n").collect()))
+    assert order(queue.run_updates(counts, ["window_start", "event_type"])) == order(batch)
+    folder = put(spark, tmp_path / "q", "events", [r for part in rows for r in part], schema)
+    for f in os.listdir(f"{folder}/events.parquet"):
+        if f.endswith(".parquet"):
+            os.rename(f"{folder}/events.parquet/{f}", f"{folder}/x.parquet")
+    shutil.rmtree(f"{folder}/events.parquet")
+    os.rename(f"{folder}/x.parquet", f"{folder}/events.parquet")
+    assert order(catalogue.QUERIES["stream_windowed_counts"](spark, folder)) == order(batch)
