@@ -4,90 +4,107 @@ A handful of keys hold most rows. Hashing by key then sends each of them to one
 measured by a partial aggregate, keys are packed onto tasks by their load, keys too large for a task are split into shards
 in proportion to their load, and a matching side (if any) is replicated to just those shards.
 
-What reaches the driver is bounded whatever the data holds: the `heavy_limit` heaviest keys and `slots` sums of the hashed
-rest. A key beyond the heaviest has less than 1/heavy_limit of the rows, so it is light enough to stay whole.
+Every key of more than `slack` of a task's fair share is split, so there are at most tasks / slack of them, whatever the data hold. Where its shards and the
+hashed rest go is a written table of at most (1 / slack + slots_per_task) rows a task, made within one task; the driver sees one total.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.session import durable, parallelism
 
 TASK = "_ll_task"
 SHARD = "_ll_shard"
+SALT = "_ll_salt"
+HASH = "_ll_hash"
+#: Part of a task's fair share above which a key is split.
+SLACK = 0.25
+SLOTS_PER_TASK = 16
+#: Placements of at most so many rows (16 bytes and a few task numbers each) are broadcast; larger ones, of more than 100,000 tasks, are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
 class Packing:
-    """Where rows go. heavy: key -> tasks of its shards, in order. light: task of each hash slot."""
+    """Where rows go. places: (heavy boolean, at long, _ll_tasks array<int>): of a heavy key, by its hash, the tasks of its shards in order; of a slot of light keys its one task."""
 
     tasks: int
-    heavy: dict[tuple, tuple[int, ...]]
-    light: tuple[int, ...]
-    load: tuple[int, ...]
-
-
-def pack(heavy: dict[tuple, int], slots: Sequence[int], tasks: int, slack: float = 0.25) -> Packing:
-    """Longest-processing-time bin packing. A heavy key whose load exceeds `slack` of a task's fair share is cut into that
-    many equal shards, each packed on its own, so no task gets more than its share plus the largest light slot."""
-    fair = max(1.0, (sum(heavy.values()) + sum(slots)) / tasks)
-    pieces: list[tuple[float, int, tuple, int]] = []
-    for order, (key, load) in enumerate(sorted(heavy.items(), key=lambda x: (-x[1], repr(x[0])))):
-        shards = max(1, min(tasks, round(load / (fair * slack))))
-        pieces += [(load / shards, order, key, shard) for shard in range(shards)]
-    pieces += [(float(load), len(heavy) + slot, (), slot) for slot, load in enumerate(slots)]
-    pieces.sort(key=lambda x: (-x[0], x[1], x[3]))
+    slots: int
+    places: DataFrame
+    small: bool
+
+
+def pack(heavy: Mapping[int, float], slots: Mapping[int, float], tasks: int, slack: float = SLACK) -> tuple[dict[int, list[int]], dict[int, int], list[float]]:
+    """Longest-processing-time bin packing of hashed keys and slots, each with its load: tasks of the shards of each key, task of each slot, load of each task. A key whose load exceeds `slack` of a task's
+    fair share is cut into equal shards of at most that much (at most one a task), each packed on its own, so no task gets more than its share plus the largest piece."""
+    fair = max(1.0, (sum(heavy.values()) + sum(slots.values())) / tasks)
+    pieces: list[tuple[float, int, int, int]] = []
+    for key, load in heavy.items():
+        shards = shards_of(load, fair, tasks, slack)
+        pieces += [(-load / shards, 0, key, shard) for shard in range(shards)]
+    pieces += [(-float(load), 1, slot, 0) for slot, load in slots.items()]
+    pieces.sort()
     queue = [(0.0, task) for task in range(tasks)]
-    placed: dict[tuple, dict[int, int]] = {}
-    light = [0] * len(slots)
-    load = [0.0] * tasks
-    for size, _, key, part in pieces:
+    placed: dict[int, list[int]] = {key: [] for key in heavy}
+    light: dict[int, int] = {}
+    loads = [0.0] * tasks
+    for size, kind, at, _ in pieces:
         now, task = heapq.heappop(queue)
-        heapq.heappush(queue, (now + size, task))
-        load[task] = now + size
-        if key:
-            placed.setdefault(key, {})[part] = task
+        loads[task] = now - size
+        heapq.heappush(queue, (loads[task], task))
+        if kind:
+            light[at] = task
         else:
-            light[part] = task
-    return Packing(tasks, {k: tuple(v[i] for i in range(len(v))) for k, v in placed.items()}, tuple(light), tuple(int(x) for x in load))
+            placed[at].append(task)
+    return placed, light, loads
 
 
-def estimate(rows: DataFrame, keys: Sequence[str], tasks: int, heavy_limit: int = 128, slots_per_task: int = 16, loads: DataFrame | None = None) -> Packing:
+def shards_of(load: float, fair: float, tasks: int, slack: float) -> int:
+    return int(max(1, min(tasks, -(-load // (fair * slack)))))
+
+
+def estimate(rows: DataFrame, keys: Sequence[str], tasks: int, slack: float = SLACK, slots_per_task: int = SLOTS_PER_TASK, loads: DataFrame | None = None) -> Packing:
     """Measure the load of every key (map-side combined counts over all rows) and pack. `loads` (the keys and a column
-    `load`) spares the count where it is known already."""
-    counts = loads if loads is not None else durable(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("load")), "loads")
+    `load`) spares the count where it is known already. Keys of one 64-bit hash share their shards, which changes no result."""
+    if loads is None:
+        loads = durable(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("load")), "loads")
+    counts = loads.groupBy(F.xxhash64(*keys).alias("at")).agg(F.sum("load").alias("load"))
+    fair = max(1.0, (loads.agg(F.sum("load")).first()[0] or 0) / tasks)
     slots = tasks * slots_per_task
-    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
-    light = [0] * slots
-    for row in counts.groupBy(slot.alias("slot")).agg(F.sum("load").alias("load")).collect():  # at most `slots` rows
-        light[row["slot"]] = int(row["load"])
-    heavy = {}
-    for row in counts.select(*keys, "load", slot.alias("slot")).orderBy(F.desc("load"), *keys).limit(heavy_limit).collect():
-        heavy[tuple(row[k] for k in keys)] = int(row["load"])
-        light[row["slot"]] -= int(row["load"])
-    return pack(heavy, light, tasks)
+    large = F.col("load") > fair * slack
+    light = counts.where(~large).groupBy(F.pmod("at", F.lit(slots)).alias("at")).agg(F.sum("load").alias("load"))
+    pieces = counts.where(large).select(F.lit(True).alias("heavy"), "at", "load").unionByName(light.select(F.lit(False).alias("heavy"), "at", "load"))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        heavy: dict[int, int] = {}
+        rest: dict[int, int] = {}
+        for pdf in batches:
+            for large, at, load in zip(pdf["heavy"].tolist(), pdf["at"].tolist(), pdf["load"].tolist(), strict=True):
+                (heavy if large else rest)[at] = load
+        placed, slot, _ = pack(heavy, rest, tasks, slack)
+        if placed or slot:
+            yield pd.DataFrame({"heavy": [True] * len(placed) + [False] * len(slot), "at": [*placed, *slot], "_ll_tasks": [*placed.values(), *([t] for t in slot.values())]})
+
+    places = durable(pieces.repartition(1).mapInPandas(place, "heavy boolean, at long, _ll_tasks array<int>"), "places")
+    return Packing(tasks, slots, places, tasks * (1 / slack + slots_per_task) <= BROADCAST_ROWS)
 
 
 def _placed(rows: DataFrame, keys: Sequence[str], packing: Packing) -> DataFrame:
-    """Add `_ll_tasks`, the tasks of the shards of the row's key: one for a light key. The heavy keys come by a broadcast join of at most
-    heavy_limit rows."""
-    slot = F.pmod(F.xxhash64(*keys), F.lit(len(packing.light)))
-    light = F.element_at(F.array(*[F.lit(t) for t in packing.light]), (slot + 1).cast("int"))
-    if not packing.heavy:
-        return rows.withColumn("_ll_tasks", F.array(light))
-    kinds = [T.StructField(f"_h_{k}", rows.schema[k].dataType) for k in keys]
-    listed = rows.sparkSession.createDataFrame([(*k, list(t)) for k, t in packing.heavy.items()], T.StructType([*kinds, T.StructField("_ll_heavy", T.ArrayType(T.IntegerType()))]))
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-    return rows.join(F.broadcast(listed), on, "left").withColumn("_ll_tasks", F.coalesce("_ll_heavy", F.array(light))).drop("_ll_heavy", *[f"_h_{k}" for k in keys])
+    """Add `_ll_tasks`, the tasks of the shards of the row's key: one for a light key."""
+    sized = F.broadcast if packing.small else lambda t: t
+    heavy = sized(packing.places.where("heavy").select(F.col("at").alias(HASH), F.col("_ll_tasks").alias("_ll_heavy")))
+    light = sized(packing.places.where("NOT heavy").select(F.col("at").alias("_ll_slot"), F.element_at("_ll_tasks", F.lit(1)).alias("_ll_light")))
+    found = rows.withColumn(HASH, F.xxhash64(*keys)).withColumn("_ll_slot", F.pmod(HASH, F.lit(packing.slots)).cast("long"))
+    found = found.join(heavy, HASH, "left").join(light, "_ll_slot", "left")
+    own = F.coalesce("_ll_heavy", F.array(F.coalesce("_ll_light", F.pmod(HASH, F.lit(packing.tasks)).cast("int"))))  # the last for keys that only the matching side has
+    return found.select(*rows.columns, own.alias("_ll_tasks"))
 
 
 def fragment(rows: DataFrame, keys: Sequence[str], packing: Packing, spread: Sequence[str]) -> DataFrame:
@@ -120,28 +137,39 @@ def join_packed(rows: DataFrame, side: DataFrame, keys: Sequence[str], spread: S
     on = (F.col(TASK) == F.col(f"_r_{TASK}")) & (F.col(SHARD) == F.col(f"_r_{SHARD}"))
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(right.hint("shuffle_hash"), on, how).drop(*[f"_r_{c}" for c in (*keys, TASK, SHARD)])
+    joined = left.join(right.hint("merge"), on, how)  # a sort can spill, a hash table can't
+    return joined.drop(*[f"_r_{c}" for c in (*keys, TASK, SHARD)])
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], tasks: int, slack: float = SLACK) -> DataFrame:
+    """(_ll_hash, _ll_shards) of the keys of counts (keys, n) that have more than `slack` of a task's fair share of all rows: at most tasks / slack rows. Each gets as many shards as keep a shard within that."""
+    counts = counts.where(_all_set(keys))
+    fair = max(1.0, (counts.agg(F.sum("n")).first()[0] or 0) / tasks)
+    shards = F.least(F.lit(tasks), F.ceil(F.col("n") / F.lit(fair * slack))).cast("int")
+    hot = counts.where(F.col("n") > fair * slack).groupBy(F.xxhash64(*keys).alias(HASH)).agg(F.max(shards).alias("_ll_shards"))
+    return F.broadcast(hot) if tasks / slack <= BROADCAST_ROWS else hot
+
+
+def salted(rows: DataFrame, keys: Sequence[str], hot: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add `_ll_salt`, the shard of the row within its key, by the hash of the columns `by`: 0 for all rows of keys that aren't hot."""
+    own = F.coalesce(F.pmod(F.xxhash64(F.lit(7), *by), F.col("_ll_shards")).cast("int"), F.lit(0))
+    return rows.withColumn(HASH, F.xxhash64(*keys)).join(hot, HASH, "left").select(*rows.columns, own.alias(SALT))
+
+
+def replicated(side: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Copy each row of a matching side to all shards of its key (`_ll_salt`): once unless the key is hot."""
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("_ll_shards", F.lit(1)) - 1))
+    return side.withColumn(HASH, F.xxhash64(*keys)).join(hot, HASH, "left").select(*side.columns, each.alias(SALT))
 
 
-def lookup(rows: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner", counts: DataFrame | None = None, heavy_rows: int = 20_000, heavy_limit: int = 100, n_rows: int | None = None) -> DataFrame:
-    """Join rows to a side that has each key once, where a few keys may hold most rows. The heavy_limit most frequent keys, as
-    far as they have heavy_rows rows, get their one row broadcast; all others are joined by shuffle, each key with fewer than
-    1/heavy_limit of the rows. `counts` (keys, n) spares the count; n_rows, the number of rows where known, spares looking for heavy keys among so
-    few that none can be. Null keys match none."""
-    if n_rows is not None and n_rows < heavy_rows:
-        return rows.join(unique, list(keys), how)
+def lookup(rows: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner", counts: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """Join rows to a side that has each key once, where a few keys may hold most rows: rows of hot keys are spread over shards by all their other columns, the one row of the side is copied to these. No row of
+    the side is broadcast, however wide. `counts` (keys, n) spares the count. Null keys match none. Rows equal in all columns stay together, so let callers drop or count repeats first."""
     if counts is None:
         counts = rows.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    heavy = counts.where(F.col("n") >= heavy_rows).orderBy(F.desc("n"), *keys).limit(heavy_limit).select(*keys).collect()
-    if not heavy:
-        return rows.join(unique, list(keys), how)
-    listed = rows.sparkSession.createDataFrame(heavy, T.StructType([T.StructField(k, rows.schema[k].dataType) for k in keys]))
-    few = unique.join(F.broadcast(listed), list(keys), "left_semi")  # at most heavy_limit rows: the side has each key once
-    if how == "left":
-        few = listed.join(F.broadcast(few), list(keys), "left")  # a heavy key the side lacks stays, with nulls
-    hot = rows.join(F.broadcast(few), list(keys), "inner")
-    cold = rows.join(F.broadcast(listed), list(keys), "left_anti").join(unique, list(keys), how)
-    return hot.unionByName(cold)
+    hot = hot_keys(counts, keys, tasks or parallelism(rows.sparkSession))
+    by = [c for c in rows.columns if c not in keys] or list(keys)
+    return salted(rows, keys, hot, by).join(replicated(unique, keys, hot), [*keys, SALT], how).drop(SALT)
 
 
 def _all_set(keys: Sequence[str]) -> Column:

@@ -17,14 +17,15 @@ from ledgerloom.functions.instants import utc_micros
 from ledgerloom.operators.balance import lookup
 from ledgerloom.session import durable, scratch
 
-#: text and zone ('' for none) are the key.
-DICTIONARY = T.StructType([T.StructField("text", T.StringType()), T.StructField("zone", T.StringType()), T.StructField("utc_micros", T.LongType())])
+#: Source, text and zone ('' for none) are the key.
+KEY = ["source_table", "text", "zone"]
+DICTIONARY = T.StructType([*[T.StructField(k, T.StringType()) for k in KEY], T.StructField("utc_micros", T.LongType())])
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         found = [utc_micros(t, z or None) for t, z in zip(pdf["text"], pdf["zone"], strict=True)]
-        yield pd.DataFrame({"text": pdf["text"], "zone": pdf["zone"], "utc_micros": pd.array(found, dtype="Int64")})
+        yield pd.DataFrame({**{k: pdf[k] for k in KEY}, "utc_micros": pd.array(found, dtype="Int64")})
 
 
 class InstantDictionary:
@@ -49,11 +50,11 @@ class InstantDictionary:
         return self.spark.read.schema(DICTIONARY).parquet(*[f"{self.path}/{n}" for n in names]) if names else None
 
     def extend(self, counts: DataFrame) -> None:
-        """Parse those of the distinct (text, zone) that the dictionary lacks and add them."""
+        """Parse those of the distinct (source, text, zone) that the dictionary lacks and add them."""
         known = self.table()
-        new = counts.select("text", "zone")
+        new = counts.select(*KEY)
         if known is not None:
-            new = new.join(known.select("text", "zone"), ["text", "zone"], "left_anti")
+            new = new.join(known.select(*KEY), KEY, "left_anti")
         new.mapInPandas(_parse, DICTIONARY).write.mode("overwrite").parquet(f"{self.path}/batch-{self.batches:06d}")
         self.batches += 1
 
@@ -64,9 +65,9 @@ def normalise(rows: DataFrame, dictionary: InstantDictionary) -> DataFrame:
     out before anything is moved: they denote none. Redelivered rows appear once; an empty table gives an empty result."""
     rows = rows.where(F.col("text").isNotNull()).select("source_table", "row_key", "field_name", "text", F.coalesce("zone", F.lit("")).alias("zone")).distinct()
     rows = durable(rows, "time-rows")
-    counts = durable(rows.groupBy("text", "zone").agg(F.count(F.lit(1)).alias("n")), "time-texts")
+    counts = durable(rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), "time-texts")
     dictionary.extend(counts)
-    return lookup(rows, dictionary.table(), ["text", "zone"], counts=counts).select("source_table", "row_key", "field_name", "text", "utc_micros")
+    return lookup(rows, dictionary.table(), KEY, counts=counts).select("source_table", "row_key", "field_name", "text", "utc_micros")
 
 
 def time_rows(spark: SparkSession, folder: str) -> list[DataFrame]:

@@ -40,7 +40,7 @@ def p4_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    nodes = nested.flatten(nested.nested_sources(spark, folder), payload=False)
+    nodes = nested.flatten(nested.nested_sources(spark, folder), payload=False, once=False)
     return nodes.where(F.col("parent_pre").isNotNull()).select("source_table", "row_id", "node_path", "parent_path").distinct()
 
 
@@ -50,15 +50,14 @@ def _typed(kind: str):
         return nodes.where(F.col("node_type") == kind).select("source_table", "row_id", "pre", "post", "node_path", "parent_pre", "parent_path", "scalars_json")
 
     query.__name__ = f"p4_{kind}s"
-    query.__doc__ = f"The flat table of all {kind} nodes."
+    query.__doc__ = f"The flat table of all {kind} nodes; an item is a scalar in a list, its scalars_json the JSON of it." if kind == "item" else f"The flat table of all {kind} nodes."
     return query
 
 
 def p4_link_attachments(spark: SparkSession, folder: str) -> DataFrame:
     """Every node with its nearest enclosing link, found by joining the two node tables on interval containment."""
-    nodes = durable(nested.flatten(nested.nested_sources(spark, folder), payload=False), "nodes")
-    inner = nodes.where("node_type = 'object'").select("source_table", "row_id", "pre", "post", "node_path")
-    linked = nested.contained(inner, nodes.where("node_type = 'link'"))
+    nodes = nested.node_tables(nested.nested_sources(spark, folder))
+    linked = nested.contained(nodes["object"].select("source_table", "row_id", "pre", "post", "node_path"), nodes["link"])
     return linked.where(F.col("outer_pre").isNotNull()).select("source_table", "row_id", "node_path", F.col("outer_path").alias("link_path"))
 
 
@@ -88,7 +87,7 @@ def p7_descendants(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_profile, p2_found, p2_instants, p4_found, p4_nodes, _typed("link"), _typed("attachment"), _typed("object"), p4_link_attachments, p6_found, p6_delta, p7_found, p7_descendants)
+    for f in (p1_found, p1_profile, p2_found, p2_instants, p4_found, p4_nodes, _typed("link"), _typed("attachment"), _typed("object"), _typed("item"), p4_link_attachments, p6_found, p6_delta, p7_found, p7_descendants)
 }
 
 _KEYS = """

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter, defaultdict
 
 from ledgerloom.operators import balance as B
@@ -9,11 +10,27 @@ def records(spark, rows):
 
 
 def test_pack_splits_large_keys_and_spreads_load():
-    heavy = {("a",): 1000, ("b",): 400, ("c",): 10}
-    packing = B.pack(heavy, [5] * 16, 8)
-    assert len(packing.heavy[("a",)]) > 1 and len(packing.light) == 16
-    assert max(packing.load) <= 1.5 * sum(packing.load) / 8
-    assert all(0 <= t < 8 for ts in packing.heavy.values() for t in ts)
+    placed, light, load = B.pack({1: 1000, 2: 400, 3: 10}, dict.fromkeys(range(16), 5), 8)
+    assert len(placed[1]) >= len(placed[2]) > 1 and len(light) == 16
+    assert max(load) <= 1.5 * sum(load) / 8
+    assert all(0 <= t < 8 for ts in placed.values() for t in ts)
+
+
+def test_every_key_above_its_share_is_split(spark):
+    """400 equal keys on 20,000 tasks: fifty fair shares each."""
+    counts = spark.range(400).selectExpr("cast(id AS string) AS key", "1000000 AS load")
+    B.estimate(counts, ["key"], 8, loads=counts)
+    began = time.perf_counter()
+    packing = B.estimate(counts, ["key"], 20_000, loads=counts)
+    B._placed(counts, ["key"], packing)
+    took = time.perf_counter() - began
+    shards = [r["_ll_tasks"] for r in packing.places.where("heavy").collect()]
+    load = Counter()
+    for tasks in shards:
+        for t in tasks:
+            load[t] += 1_000_000 / len(tasks)
+    assert len(shards) == 400 and max(load.values()) <= 1.5 * 400_000_000 / 20_000
+    assert took < 5
 
 
 def test_profile_equals_brute_force_under_skew(spark):
@@ -59,13 +76,19 @@ def test_join_replicates_to_shards_and_keeps_nulls_and_clashes(spark):
     assert B.fragment_replicate_join(left, side, ["key"], ["id"], tasks=4, how="left").count() == 500
 
 
-def test_lookup_with_and_without_heavy_keys(spark):
+def test_lookup_with_and_without_hot_keys(spark):
     rows = [(i, "hot" if i % 2 else f"k{i % 5}" if i % 3 else None) for i in range(300)]
     left = spark.createDataFrame(rows, "id int, key string")
     unique = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, value int")
-    for how in ("inner", "left"):
-        plain = sorted(map(tuple, left.join(unique, "key", how).select("id", "value").collect()), key=str)
-        assert sorted(map(tuple, B.lookup(left, unique, ["key"], how, heavy_rows=10).select("id", "value").collect()), key=str) == plain
-        assert sorted(map(tuple, B.lookup(left, unique.where("key <> 'hot'"), ["key"], how, heavy_rows=10).select("id", "value").collect()), key=str) == sorted(
-            map(tuple, left.join(unique.where("key <> 'hot'"), "key", how).select("id", "value").collect()), key=str
-        )
+    for side in (unique, unique.where("key <> 'hot'"), unique.where("false")):
+        for how in ("inner", "left"):
+            plain = sorted(map(tuple, left.join(side, "key", how).select("id", "value").collect()), key=str)
+            for tasks in (500,):
+                assert sorted(map(tuple, B.lookup(left, side, ["key"], how, tasks=tasks).select("id", "value").collect()), key=str) == plain
+
+
+def test_hot_keys_are_all_those_above_their_share(spark):
+    counts = spark.createDataFrame([(f"k{i}", 10) for i in range(300)] + [("hot", 3000), (None, 10**6)], "key string, n long")
+    hot = {r["_ll_hash"]: r["_ll_shards"] for r in B.hot_keys(counts, ["key"], 2400).collect()}
+    assert len(hot) == 301 and max(hot.values()) == 2400  # fair share 2.5 rows: all keys, the hot one in as many shards as tasks
+    assert len(B.hot_keys(counts, ["key"], 4).collect()) == 1
