@@ -1,7 +1,7 @@
 """Term and record frequencies by last-seen counters.
 
-Postings are hash-partitioned by token (and by a salt of the record, so that no token holds a task) and ordered by record. Then each
-term needs its occurrences, its records and the last record and posting seen, and no set of records.
+Postings are hash-partitioned by token and ordered by record. Then each term needs its occurrences, its records and the last record and posting seen, and no set of
+records. Tokens that hold more than a part of a task's fair share, as measured, are spread by their records over as many shards as their load asks for.
 """
 
 from __future__ import annotations
@@ -14,11 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import folded, token_runs
+from ledgerloom.operators.balance import SALT, hot_keys, salted
 from ledgerloom.session import parallelism
 
-#: Parts of each token's postings; no part of a token that all rows hold is more than a SALTS-th of them.
-SALTS = 16
-
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counters of runs of (token, salt) in rows ordered by token, salt, record, posting. The last run of a batch stays open: its counter
@@ -71,7 +69,11 @@ def term_frequencies(postings: DataFrame, rare: int = 2, common: int = 5) -> Dat
         F.coalesce(F.col("rid").cast("long"), F.lit(-1)).alias("record"),
         F.coalesce(F.col("posting_id").cast("long"), F.lit(-1)).alias("posting"),
         F.coalesce(F.col("tf").cast("long"), F.lit(0)).alias("tf"),
-    ).withColumn("salt", F.pmod(F.xxhash64("record"), F.lit(SALTS)).cast("int"))
+    )
+    # Loads of folded tokens, from the rows combined by spelling.
+    spelled = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    loads = spelled.select(F.explode(F.array_distinct(token_runs(folded(F.col("token"))))).alias("token"), "n").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = salted(rows, ["token"], hot_keys(loads, ["token"], n), ["record"]).withColumnRenamed(SALT, "salt")
     ordered = rows.repartition(n, "token", "salt").sortWithinPartitions("token", "salt", "record", "posting")
     partial = ordered.select("token", "salt", "record", "posting", "tf").mapInArrow(_count, "token string, occurrences long, records long")
     terms = partial.groupBy("token").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))

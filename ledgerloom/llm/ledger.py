@@ -2,13 +2,17 @@
 
 The ledger keeps, in hash buckets, each canonical key with its number of copies and its earliest representative. A batch is aggregated
 by key first (combined before the shuffle, so that a record delivered a million times is one row), then full-outer-joined with the
-buckets it touches; counts are added and the smaller id stays. Buckets it doesn't touch aren't read.
+buckets it touches; counts are added and the smaller id stays. Buckets it doesn't touch are neither read nor written.
+
+The number of buckets follows the ledger: it doubles when buckets hold more than BUCKET_ROWS keys on the average, so a small batch touches a small part of a large ledger. Each batch has a name, and a name
+counts once: a batch that is given again, say by a job that is run again after a failure behind Spark's commit, changes nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_tools import canonical, fold
 from ledgerloom.operators.balance import lookup
-from ledgerloom.session import durable, parallelism, scratch, spread
+from ledgerloom.session import discard, durable_counted, scratch, spread
 
 ROWS = "source_table string, k1 long, k2 long, keep_id long, copies long"
 
@@ -42,27 +46,42 @@ def canonical_keys(rows: DataFrame) -> DataFrame:
     return spread(rows.select("source_table", F.col("id").cast("long").alias("id"), "fields", "json")).mapInArrow(run, "source_table string, id long, k1 long, k2 long")
 
 
+#: Keys of a bucket, some 15 MB: what one task joins and writes.
+BUCKET_ROWS = 500_000
+
+
 class DuplicateLedger:
-    """A folder of versions, each holding the buckets that its batch touched; of a bucket the latest version counts. A version counts once
-    Spark has committed it (_SUCCESS), so an update that fails half way leaves the ledger as it was, and may be run again."""
+    """A folder of versions `v-<number>-<buckets>-<batch>`, each holding the buckets that its batch touched; of a bucket the latest version counts. A version counts once
+    Spark has committed it (_SUCCESS), so an update that fails half way leaves the ledger as it was, and may be run again. Versions that no bucket needs any more are emptied; their names stay, so that
+    their batches are known. When the number of buckets grows, all of them are written anew, which doubling makes rare."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16):
-        self.spark, self.path, self.buckets = spark, path or scratch(spark, "ledger"), buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.path, self.bucket_rows = spark, path or scratch(spark, "ledger"), bucket_rows
+
+    def _hadoop(self):
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        return Path, Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[tuple[int, int, str, str]]:
+        """(number, buckets, batch, folder) of the committed versions in order."""
+        Path, fs = self._hadoop()
+        if not fs.exists(Path(self.path)):
+            return []
+        names = [p.getPath().getName() for p in fs.listStatus(Path(self.path))]
+        found = [(*n.split("-", 3)[1:], n) for n in names if n.startswith("v-") and fs.exists(Path(f"{self.path}/{n}/_SUCCESS"))]
+        return sorted((int(number), int(buckets), batch, f"{self.path}/{n}") for number, buckets, batch, n in found)
 
     def _latest(self) -> dict[int, str]:
         """Folder of the latest version of each bucket. At most as many entries as buckets."""
-        Path = self.spark._jvm.org.apache.hadoop.fs.Path
-        root = Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return {}
+        Path, fs = self._hadoop()
+        versions = self._versions()
         found: dict[int, str] = {}
-        for version in sorted(p.getPath().getName() for p in fs.listStatus(root)):
-            if fs.exists(Path(f"{self.path}/{version}/_SUCCESS")):
-                for p in fs.listStatus(Path(f"{self.path}/{version}")):
+        for _, buckets, _, folder in versions:
+            if buckets == versions[-1][1]:  # a growth writes all buckets, so earlier versions are done with
+                for p in fs.listStatus(Path(folder)):
                     name = p.getPath().getName()
                     if name.startswith("bucket="):
-                        found[int(name[7:])] = f"{self.path}/{version}/{name}"
+                        found[int(name[7:])] = f"{folder}/{name}"
         return found
 
     def _read(self, folders: list[str]) -> DataFrame:
@@ -73,22 +92,42 @@ class DuplicateLedger:
     def table(self) -> DataFrame:
         return self._read(list(self._latest().values()))
 
-    def update(self, keys: DataFrame) -> None:
-        """Add a batch of keys (source_table, id, k1, k2)."""
-        bucket = F.pmod("k1", F.lit(self.buckets)).cast("int")
-        batch = keys.groupBy("source_table", "k1", "k2").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("copies"))
+    def update(self, keys: DataFrame, batch: str) -> bool:
+        """Add a batch of keys (source_table, id, k1, k2) under its name, of letters, digits, `_` and `.`. False, and nothing done, if the ledger has it already."""
+        if not re.fullmatch(r"[\w.]+", batch):
+            raise ValueError(f"no batch name: {batch!r}")
+        versions = self._versions()
+        if any(v[2] == batch for v in versions):
+            return False
+        buckets = versions[-1][1] if versions else 1
         latest = self._latest()
+        new, added = durable_counted(keys.groupBy("source_table", "k1", "k2").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("copies")), "ledger-batch", F.lit(True))
+        total, known = added + (self.table().count() if latest else 0), buckets
+        while total > buckets * self.bucket_rows:
+            buckets *= 2
+        bucket = lambda n: F.pmod("k1", F.lit(n)).cast("int")
+        # Bucket by bucket: both sides go to the task of their bucket, which joins and writes it.
+        side = lambda df: df.withColumn("bucket", bucket(buckets)).repartitionById(buckets, F.col("bucket"))
+        whole = side(new)
         if latest:
-            batch = durable(batch, "ledger-batch")
-            touched = {r["b"] for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most `buckets` rows
-            old = self._read([f for b, f in latest.items() if b in touched])
-            o = old.select("source_table", "k1", "k2", F.col("keep_id").alias("old_id"), F.col("copies").alias("old_copies"))
-            joined = batch.join(o, ["source_table", "k1", "k2"], "full_outer")
-            batch = joined.select("source_table", "k1", "k2", F.least("keep_id", "old_id").alias("keep_id"), (F.coalesce("copies", F.lit(0)) + F.coalesce("old_copies", F.lit(0))).alias("copies"))
-        version = 1 + max((int(f.split("/v-")[1].split("/")[0]) for f in latest.values()), default=-1)
-        # Large buckets are written by several tasks each, as many as the session's shuffles have to spare.
-        parts = max(1, parallelism(self.spark) // self.buckets)
-        batch.withColumn("bucket", bucket).repartition("bucket", F.pmod("k2", F.lit(parts))).write.partitionBy("bucket").mode("overwrite").parquet(f"{self.path}/v-{version:06d}")
+            touched = set(latest) if buckets != known else {r["b"] for r in new.select(bucket(known).alias("b")).distinct().collect()}  # at most as many rows as buckets
+            old = side(self._read([f for b, f in latest.items() if b in touched])).select("bucket", "source_table", "k1", "k2", F.col("keep_id").alias("old_id"), F.col("copies").alias("old_copies"))
+            joined = whole.join(old.hint("merge"), ["bucket", "source_table", "k1", "k2"], "full_outer")
+            whole = joined.select("source_table", "k1", "k2", F.least("keep_id", "old_id").alias("keep_id"), (F.coalesce("copies", F.lit(0)) + F.coalesce("old_copies", F.lit(0))).alias("copies"), "bucket")
+        number = 1 + (versions[-1][0] if versions else -1)
+        whole.write.partitionBy("bucket").mode("overwrite").parquet(f"{self.path}/v-{number:06d}-{buckets}-{batch}")
+        discard(new)
+        self._tidy()
+        return True
+
+    def _tidy(self) -> None:
+        """Remove the bucket folders that a later version has replaced. The last replaced version of each is gone too, so read the ledger's table between updates, not across them."""
+        Path, fs = self._hadoop()
+        kept = set(self._latest().values())
+        for _, _, _, folder in self._versions():
+            for p in fs.listStatus(Path(folder)):
+                if p.getPath().getName().startswith("bucket=") and f"{folder}/{p.getPath().getName()}" not in kept:
+                    fs.delete(p.getPath(), True)
 
 
 def copies(keys: DataFrame, ledger: DuplicateLedger) -> DataFrame:
@@ -100,14 +139,14 @@ def copies(keys: DataFrame, ledger: DuplicateLedger) -> DataFrame:
     return found.where(F.col("id") != F.col("keep_id")).select("source_table", "keep_id", F.col("id").alias("copy_id"))
 
 
-def duplicate_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
+def duplicate_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     from ledgerloom.session import table
 
     def one(name, key, fields, nested):
         return table(spark, folder, name).select(F.lit(name).alias("source_table"), F.col(key).cast("long").alias("id"), F.array(*fields).alias("fields"), F.array(nested).alias("json"))
 
-    return [
-        one("inputs", "input_id", ["role", "url", "locale"], "record_json"),
-        one("candidates", "candidate_id", ["candidate_key"], "candidate_json"),
-        one("datasets", "seq", ["url"], "row_json"),
-    ]
+    return {
+        "inputs": one("inputs", "input_id", ["role", "url", "locale"], "record_json"),
+        "candidates": one("candidates", "candidate_id", ["candidate_key"], "candidate_json"),
+        "datasets": one("datasets", "seq", ["url"], "row_json"),
+    }

@@ -13,9 +13,9 @@ from ledgerloom.session import durable, table
 def _ledger(spark: SparkSession, folder: str) -> tuple[DataFrame, ledger.DuplicateLedger]:
     """Each table is a batch of the ledger. Keys are computed once and kept in the shared folder."""
     own, whole = ledger.DuplicateLedger(spark), None
-    for rows in ledger.duplicate_sources(spark, folder):
+    for name, rows in ledger.duplicate_sources(spark, folder).items():
         keys = durable(ledger.canonical_keys(rows), "canonical-keys")
-        own.update(keys)
+        own.update(keys, name)
         whole = keys if whole is None else whole.unionByName(keys)
     return whole, own
 

@@ -79,22 +79,46 @@ def brute(rows):
 
 def test_ledger_by_batches_equals_brute_force(spark):
     rows = data(600, 9)
-    own = ledger.DuplicateLedger(spark, buckets=8)
+    own = ledger.DuplicateLedger(spark, bucket_rows=40)
     keys = ledger.canonical_keys(spark.createDataFrame(rows, SCHEMA))
-    for part in (rows[:200], rows[200:210], rows[210:]):
-        own.update(ledger.canonical_keys(spark.createDataFrame(part, SCHEMA)))
+    for n, part in enumerate((rows[:100], rows[100:110], rows[110:])):
+        assert own.update(ledger.canonical_keys(spark.createDataFrame(part, SCHEMA)), f"batch_{n}")
     groups, copies = brute(rows)
     assert {(r["source_table"], r["keep_id"], r["copies"]) for r in own.table().collect()} == groups
     assert {tuple(r) for r in ledger.copies(keys, own).collect()} == copies
-    again = ledger.DuplicateLedger(spark, own.path, buckets=8)
-    assert again.table().count() == len(groups)
+    assert [v[1] for v in own._versions()] == [2, 2, 8] and len(own._latest()) == 8
+    # Another session goes on from the folder; a batch that is there already, given again, changes nothing.
+    again = ledger.DuplicateLedger(spark, own.path, bucket_rows=40)
+    assert not again.update(keys, "batch_1")
+    assert {(r["source_table"], r["keep_id"], r["copies"]) for r in again.table().collect()} == groups
+
+
+def test_small_batch_leaves_other_buckets_alone(spark):
+    own = ledger.DuplicateLedger(spark, bucket_rows=10)
+    some = spark.range(200).selectExpr("'t' AS source_table", "id", "id AS k1", "id AS k2")
+    own.update(some, "all")
+    before = own._latest()
+    own.update(some.where("k1 = 5").selectExpr("source_table", "id + 1000 AS id", "k1", "k2"), "one")
+    after = own._latest()
+    assert len(before) == 32 and [b for b in before if before[b] != after[b]] == [5]
+    assert sorted((r["keep_id"], r["copies"]) for r in own.table().where("copies > 1").collect()) == [(5, 2)] and own.table().count() == 200
+
+
+def test_update_that_failed_before_its_commit_does_not_count(spark):
+    own = ledger.DuplicateLedger(spark)
+    some = spark.range(20).selectExpr("'t' AS source_table", "id", "id AS k1", "id AS k2")
+    own.update(some, "a")
+    some.write.parquet(f"{own.path}/v-000001-1-b")
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    own._hadoop()[1].delete(Path(f"{own.path}/v-000001-1-b/_SUCCESS"), False)
+    assert own.table().count() == 20 and own.update(some, "b") and {r["copies"] for r in own.table().collect()} == {2}
 
 
 def test_ledger_of_nothing(spark):
-    own = ledger.DuplicateLedger(spark, buckets=4)
+    own = ledger.DuplicateLedger(spark)
     assert own.table().count() == 0
-    own.update(ledger.canonical_keys(spark.createDataFrame([], SCHEMA)))
+    own.update(ledger.canonical_keys(spark.createDataFrame([], SCHEMA)), "none")
     assert own.table().count() == 0
     odd = [("a", 1, [None], [None], ""), ("a", 2, [""], [None], ""), ("a", 3, [None], [None], ""), ("a", 4, [None], ["{x"], ""), ("a", 5, None, None, "")]
-    own.update(ledger.canonical_keys(spark.createDataFrame(odd, SCHEMA)))
+    own.update(ledger.canonical_keys(spark.createDataFrame(odd, SCHEMA)), "odd")
     assert sorted((r["keep_id"], r["copies"]) for r in own.table().collect()) == [(1, 2), (2, 1), (4, 1), (5, 1)]
