@@ -1,9 +1,12 @@
 import random
+from pathlib import Path
 
 import numpy as np
 
 from ledgerloom.llm import leakage as L
 
+ROOT = Path(__file__).resolve().parents[2]
+
 
 def brute(docs, items, least):
     out = {}
@@ -63,5 +66,50 @@ def test_shards_of_any_size(spark, monkeypatch):
     assert L.leaks(df, tests.where("false")).count() == 0 and L.leaks(df.where("false"), tests).count() == 0
 
 
+def test_characters_that_fold_to_several_words(spark):
+    """U+2474 to U+2481 are fourteen characters and fourteen words."""
+    text = "".join(chr(c) for c in range(0x2474, 0x2482))
+    docs = spark.createDataFrame([(1, text), (2, " ".join(str(n) for n in range(1, 15))), (3, text[:11])], "doc_id long, text string")
+    found = L.leaks(docs, spark.createDataFrame([(7, text)], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"]) for r in found) == [(1, 14), (2, 14)]
+
+
+def shared_footer(n_docs, n_items, pairs):
+    """A footer that all documents and all items hold: documents, and how many matches there were and at most in a piece."""
+    footer = " ".join(f"f{i}" for i in range(13))
+    vocabulary = {}
+    tests = L.TestSuffixes([(i, f"q{i} {footer}") for i in range(n_items)], 12, vocabulary)
+    shard = L._Shard(vocabulary, 12)
+    for d in range(n_docs):
+        shard.add(d, f"d{d} {footer} end")
+
+    class Block:
+        value = tests
+
+    total = most = 0
+    before, L.PAIRS = L.PAIRS, pairs
+    try:
+        for _, found in shard.matches([Block()]):
+            assert (found[2] == 13).all()
+            total, most = total + len(found[0]), max(most, len(found[0]))
+    finally:
+        L.PAIRS = before
+    return total, most
+
+
+def test_pairs_of_a_shared_passage_come_in_pieces():
+    total, most = shared_footer(3000, 240, L.PAIRS)
+    assert total == 3000 * 240 and most <= L.PAIRS
+
+
+def test_shared_passage_of_a_whole_shard_stays_small():
+    import subprocess
+    import sys
+
+    code = "import resource; from tests.llm.test_leakage import shared_footer, L; before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; print(shared_footer(71_429, 240, L.PAIRS)[0], (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)"
+    total, mb = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=str(ROOT)).stdout.split())
+    assert total == 71_429 * 240 and mb < 400
+
+
 def test_words():
     assert L.words_of("Café café, ＡＢＣ-12 ﬁne_x") == ["cafe", "cafe", "abc", "12", "fine", "x"]
