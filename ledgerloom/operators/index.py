@@ -15,7 +15,6 @@ from pyspark.sql.window import Window
 
 from ledgerloom.functions.identity import search_shard
 from ledgerloom.functions.text import token_runs, tokens
-from ledgerloom.operators.balance import lookup
 
 #: Weight and mask bit of each field.
 FIELDS = {
@@ -60,12 +59,11 @@ def lexicon(found: DataFrame) -> DataFrame:
 
 
 def capped(found: DataFrame, cap: int = POSTING_CAP) -> DataFrame:
-    """The cap best postings of each token by (score desc, ordinal), with the rank. Each task passes on its own best only: Spark sees to that for small caps; for larger ones the best of
-    16 parts of each token are taken first, so a token that all records hold brings at most 16 times cap rows together."""
+    """The cap best postings of each token by (score desc, ordinal), with the rank. Of each of 16 parts of a token the cap best are taken first, so a token that all records hold brings at most
+    16 times cap rows together."""
     best = [F.desc("score"), F.col("ordinal")]
-    if cap > 1000:  # what Spark's own limit before the shuffle goes up to
-        part = F.pmod(F.xxhash64("ordinal"), F.lit(16))
-        found = found.withColumn("_part", part).withColumn("_rank", F.row_number().over(Window.partitionBy("token", "_part").orderBy(*best))).where(F.col("_rank") <= cap).drop("_part", "_rank")
+    part = F.pmod(F.xxhash64("ordinal"), F.lit(16))
+    found = found.withColumn("_part", part).withColumn("_rank", F.row_number().over(Window.partitionBy("token", "_part").orderBy(*best))).where(F.col("_rank") <= cap).drop("_part", "_rank")
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("token").orderBy(*best))).where(F.col("rank") <= cap)
 
 
@@ -90,7 +88,7 @@ def search(queries: DataFrame, lists: DataFrame, terms: DataFrame, limit: int =
     rarest token's list (of equally rare ones the first by name). Tokens the lexicon lacks are ignored. The score sums all tokens, the title bit adding
     TITLE_BONUS. Ties go to the smaller ordinal. A query without known tokens gives no rows.
     """
-    known = lookup(query_tokens(queries), terms, ["token"])
+    known = query_tokens(queries).join(terms, "token")
     per_query = Window.partitionBy("query_id")
     known = known.withColumn("complete", F.col("df") <= cap).withColumn("n_complete", F.sum(F.col("complete").cast("int")).over(per_query))
     known = known.withColumn("rarest", F.min(F.struct("df", "token")).over(per_query)["token"])
@@ -143,20 +141,20 @@ def grouped_search(groups: DataFrame, lists: DataFrame, limit: int = 20) -> Data
     return whole.withColumn("rank", rank).where(F.col("rank") <= limit).select("query_id", "ordinal", "score", "rank")
 
 
-def bm25(queries: DataFrame, rows: DataFrame, ordinal: str, text: Column, limit: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, ordinal, score, rank) by BM25, idf floored at 1e-6; larger is better, rounded to 6 places before ranking, ties by ordinal."""
-    spread = rows.select(F.col(ordinal).alias("ordinal"), token_runs_of(text).alias("ts")).where(F.size("ts") > 0)
-    sizes = spread.select("ordinal", F.size("ts").alias("len"))
-    stats = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg")).first()  # two numbers
-    n, avg = stats["n"] or 0, stats["avg"] or 1.0
-    counts = spread.select("ordinal", F.size("ts").alias("len"), F.explode("ts").alias("token")).groupBy("ordinal", "len", "token").agg(F.count(F.lit(1)).alias("tf"))
-    asked = query_tokens(queries).select("query_id", "token")
-    needed = asked.select("token").distinct()
-    counts = counts.join(needed, "token", "left_semi")
-    df = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+def term_counts(rows: DataFrame, ordinal: str, text: Column) -> DataFrame:
+    """(token, ordinal, tf, len): how often each row holds each of its tokens, and its number of tokens. Made within each row: nothing is moved. Ordinals must be unique."""
+    held = rows.select(F.col(ordinal).alias("ordinal"), token_runs_of(text).alias("ts")).where(F.size("ts") > 0)
+    count = lambda t: F.struct(t.alias("token"), F.size(F.filter("ts", lambda x: x == t)).alias("tf"))
+    each = held.select("ordinal", F.size("ts").alias("len"), F.explode(F.transform(F.array_distinct("ts"), count)).alias("t"))
+    return each.select("t.token", "ordinal", "t.tf", "len")
+
+
+def bm25(queries: DataFrame, counts: DataFrame, df: DataFrame, n: int, average: float, limit: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(query_id, ordinal, score, rank) by BM25, idf floored at 1e-6; larger is better, rounded to 6 places before ranking, ties by ordinal. counts: see term_counts; df: (token, df); n rows of `average` tokens."""
     idf = F.greatest(F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
-    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / avg))
-    hits = asked.join(counts.join(df, "token"), "token").groupBy("query_id", "ordinal").agg(F.round(F.sum(part), 6).alias("score"))
+    asked = query_tokens(queries).select("query_id", "token").join(df, "token")
+    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / average))
+    hits = asked.join(counts, "token").groupBy("query_id", "ordinal").agg(F.round(F.sum(part), 6).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "ordinal"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= limit)
 

@@ -212,7 +212,7 @@ def pattern_scan(spark, folder):
     return quality.secret_scan(table(spark, folder, "source_records"), "seq", ["raw_json"], _PATTERNS)
 
 
-@query("SELECT seq, 'raw_json' AS column, 'aws_access_key' AS pattern FROM source_records WHERE regexp_matches(raw_json, '\\bAKIA[0-9A-Z]{16}\\b') OR regexp_matches(raw_json, '-----BEGIN (RSA |EC |OPENSSH )?PRIVATE KEY-----')")
+@query()
 def secret_scan(spark, folder):
     """Secrets, payloads and fields that must not be published, at any depth of the source records."""
     return quality.record_scan(table(spark, folder, "source_records"), "seq", "raw_json")
@@ -236,10 +236,10 @@ def record_checksums(spark, folder):
     return table(spark, folder, "candidates").select("candidate_id", quality.canonical_sha256("candidate_json").alias("sha256"))
 
 
-@query("""WITH p AS (SELECT DISTINCT content_id, base_path FROM acquisition WHERE content_id <> '' AND base_path <> '') SELECT 'content_id' AS side, content_id AS value, count(*) AS n FROM p GROUP BY content_id HAVING count(*) > 1
- UNION ALL SELECT 'base_path', base_path, count(*) FROM p GROUP BY base_path HAVING count(*) > 1""")
+@query("""WITH p AS (SELECT DISTINCT title_key, url FROM records WHERE title_key <> '' AND url <> '') SELECT 'title_key' AS side, title_key AS value, count(*) AS n FROM p GROUP BY title_key HAVING count(*) > 1
+ UNION ALL SELECT 'url', url, count(*) FROM p GROUP BY url HAVING count(*) > 1""")
 def pairing_conflicts(spark, folder):
-    return quality.pairing_conflicts(table(spark, folder, "acquisition"), "content_id", "base_path")
+    return quality.pairing_conflicts(table(spark, folder, "records"), "title_key", "url")
 
 
 @query("""WITH a AS (SELECT url AS path, max(record_sha256) AS s FROM inputs WHERE role = 't0_enumeration' GROUP BY url), b AS (SELECT url AS path, max(record_sha256) AS s FROM inputs WHERE role = 't1_enumeration' GROUP BY url)
@@ -257,7 +257,7 @@ def ordered_digest(spark, folder):
     return quality.ordered_digest(table(spark, folder, "orders"), ["o_orderstatus"], F.concat_ws("|", "o_orderpriority", "o_custkey"))
 
 
-@query("SELECT coverage_disposition, max(retrieved) AS watermark FROM (SELECT coverage_disposition, json_extract_string(input_json, '$.retrieved_at') AS retrieved FROM work_items) WHERE regexp_matches(retrieved, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z$') GROUP BY coverage_disposition")
+@query()
 def closing_watermark(spark, folder):
     """The latest time of each disposition, its own or of its closing evidence, as its text stood: by validity, instant and text. Texts that are no time sort lowest; without any text it is empty."""
     return quality.watermark(table(spark, folder, "work_items"), ["coverage_disposition"], "input_json")
@@ -283,13 +283,13 @@ def _pages(spark, folder):
     return rows.select("doc_id", page.alias("html"))
 
 
-@query("""SELECT doc_id, i AS position, CASE i WHEN 0 THEN 'a' ELSE 'img' END AS tag, CASE i WHEN 0 THEN base_path ELSE '/media/' || doc_id || '.png' END AS href FROM documents, range(2) r(i) WHERE text IS NOT NULL AND base_path IS NOT NULL""")
+@query("""SELECT doc_id, CAST(0 AS INTEGER) AS position, 'a' AS tag, base_path AS href FROM documents WHERE text IS NOT NULL AND base_path <> '' UNION ALL
+ SELECT doc_id, CAST(coalesce(base_path <> '', false) AS INTEGER), 'img', '/media/' || doc_id || '.png' FROM documents WHERE text IS NOT NULL""")
 def html_links(spark, folder):
     return web.page_links(web.page_parts(_pages(spark, folder), "doc_id", "html"), "doc_id").select("doc_id", "position", "tag", "href")
 
 
-@query("""SELECT doc_id, nullif(lang, '') AS language, trim(regexp_replace(regexp_replace(left(text, 60), '[^A-Za-z ]', '', 'g'), ' +', ' ', 'g') || CASE WHEN trim(regexp_replace(left(text, 60), '[^A-Za-z ]', '', 'g')) = '' OR regexp_replace(left(text, 60), '[^A-Za-z ]', '', 'g') LIKE '% ' THEN '' ELSE ' ' END || '& more, end') AS text, ['WebPage'] AS types
- FROM documents WHERE text IS NOT NULL AND base_path IS NOT NULL""")
+@query()
 def html_text(spark, folder):
     return web.page_parts(_pages(spark, folder), "doc_id", "html").select("doc_id", "language", "text", "types")
 
@@ -318,7 +318,14 @@ def markdown_headings(spark, folder):
     return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum((F.col("level") > 0).cast("int")).alias("n_headings"))
 
 
-@query()
+_LINE = "SELECT doc_id, unnest(generate_series(0, len(ls) - 1)) AS pos, unnest(ls) AS line FROM (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '\\r\\n', chr(10), 'g'), '\\r', chr(10), 'g'), chr(10)) AS ls FROM documents WHERE text IS NOT NULL)"
+_PLACES = ", ".join(f"coalesce(max(CASE WHEN level = {n} THEN pos END) OVER w, -1) AS p{n}, last_value(CASE WHEN level = {n} THEN title END IGNORE NULLS) OVER w AS t{n}" for n in range(1, 7))
+_ABOVE = ", ".join(f"CASE WHEN p{n} >= 0" + "".join(f" AND p{n} > p{m}" for m in range(1, n)) + f" THEN t{n} END" for n in range(1, 7))
+
+
+@query(f"""WITH l AS ({_LINE}), h AS (SELECT doc_id, pos, length(regexp_extract(line, '^(#{{1,6}})[ \\t]', 1)) AS level, trim(regexp_replace(regexp_replace(line, '^#{{1,6}}[ \\t]+', ''), '[ \\t]+#*\\s*$', ''), ' ') AS title FROM l),
+ s AS (SELECT doc_id, pos, {_PLACES} FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+ r AS (SELECT doc_id, CAST(pos AS INTEGER) AS position, array_to_string(list_filter([{_ABOVE}], lambda x: x IS NOT NULL), ' > ') AS path FROM s) SELECT * FROM r WHERE path <> ''""")
 def heading_paths(spark, folder):
     """The headings above each line of each document."""
     lines = web.markdown_lines(table(spark, folder, "documents").where("text IS NOT NULL").dropDuplicates(["doc_id"]), "doc_id", "text")
@@ -379,11 +386,11 @@ def stream_first_seen(spark, folder):
     return seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_windowed_counts(spark, folder):
     """Hourly counts of a stream at its end, open windows too. The input is finite and its files come in no order of time, so nothing counts as late."""
     counts = queue.windowed_counts(queue.stream_of(spark, folder, "events"), "ts", ["event_type"], late=None)
-    return queue.run_updates(counts, ["window_start", "event_type"])
+    return queue.run_updates(counts, ["window_start", "event_type"]).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query()

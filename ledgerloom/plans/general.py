@@ -108,10 +108,10 @@ WITH i AS (SELECT role, regexp_replace(lower(url), '[^\\p{{L}}\\p{{N}}]+', '', '
  o AS (SELECT * FROM i WHERE role = 't0_enumeration' AND rn = 1), n AS (SELECT * FROM i WHERE role = 't1_enumeration' AND rn = 1),
  w AS (SELECT DISTINCT work_id, {_FP.format("t0_fingerprint")} AS f0, {_FP.format("t1_fingerprint")} AS f1 FROM work_items)
 SELECT 'inputs' AS source_table, coalesce(n.first_id, o.first_id) AS row_id,
-       CASE WHEN o.first_id IS NULL THEN 'added' WHEN n.first_id IS NULL THEN 'removed' ELSE 'changed' END AS delta_class
+       CASE WHEN o.first_id IS NULL THEN 'added' WHEN n.first_id IS NULL THEN 'removed' ELSE 'changed' END AS delta_class{{}}
 FROM o FULL JOIN n ON o.u IS NOT DISTINCT FROM n.u AND o.locale IS NOT DISTINCT FROM n.locale
 WHERE o.first_id IS NULL OR n.first_id IS NULL OR o.fp <> n.fp
-UNION ALL SELECT 'work_items', work_id, CASE WHEN f0 = '' THEN 'added' WHEN f1 = '' THEN 'removed' ELSE 'changed' END FROM w WHERE f0 <> f1
+UNION ALL SELECT 'work_items', work_id, CASE WHEN f0 = '' THEN 'added' WHEN f1 = '' THEN 'removed' ELSE 'changed' END{{}} FROM w WHERE f0 <> f1
 """
 _TREE = """
 WITH RECURSIVE own AS (SELECT * FROM acquisition WHERE trim(content_id) <> ''),
@@ -129,7 +129,8 @@ WITH RECURSIVE own AS (SELECT * FROM acquisition WHERE trim(content_id) <> ''),
 SQL = {
     "p1_profile": _KEYS + "SELECT g.field_name, g.key_value, n_records, rows_delivered, total_chars, max_chars, n_total, n_records * 25 >= n_total AS is_major FROM g JOIN r ON g.field_name = r.field_name AND g.key_value IS NOT DISTINCT FROM r.key_value, n",
     "p1_found": _KEYS + "SELECT field_name, key_value FROM g, n WHERE n_records * 25 >= n_total AND key_value <> ''",
-    "p6_found": _DELTA,
+    "p6_found": _DELTA.replace("{}", ""),
+    "p6_delta": _DELTA.replace("{}", ", o.fp AS old_content, n.fp AS new_content", 1).replace("{}", ", nullif(f0, ''), nullif(f1, '')"),
     "p7_found": _TREE + "SELECT nodes.id AS node_id, coalesce(root, 'cycle') AS root_id, coalesce(depth, -1) AS depth, coalesce(path, 'cycle') AS node_path FROM nodes LEFT JOIN tree USING (id)",
     "p7_descendants": _TREE.replace("tree.path || '>' || up.child", "tree.path || '>' || up.child") + "SELECT a.id AS node_id, d.id AS descendant_id, d.depth - a.depth AS distance FROM tree a JOIN tree d ON starts_with(d.path, a.path || '>')",
 }

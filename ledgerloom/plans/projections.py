@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.identity import predicate_name
-from ledgerloom.operators import assign, evaluate, facets, graph, index, packing, projection, snapshots
+from ledgerloom.operators import assign, evaluate, facets, graph, packing, projection, snapshots
 from ledgerloom.plans.relations import _EDGES, trade_edges
-from ledgerloom.plans.text_search import _RECORDS, _SEARCH, _asked, _results, catalogue
+from ledgerloom.plans.text_search import _RECORDS, _SEARCH, _index, _results, catalogue
 from ledgerloom.session import table
 
 QUERIES: dict = {}
@@ -28,11 +28,19 @@ _AT = "nullif(json_extract_string(raw_json, '$.{}'), '')"
 _V = "SELECT * FROM source_records WHERE json_valid(raw_json) AND starts_with(trim(raw_json), '{')"
 
 
-@query(f"""WITH v AS ({_V}), p AS (SELECT *, coalesce({_AT.format("canonical_url")}, 'https://www.gov.example' || coalesce({_AT.format("base_path")}, '/')) AS u, coalesce({_AT.format("document_type")}, 'unknown') AS k,
- coalesce(json_extract_string(raw_json, '$.redirects'), '[]') <> '[]' AS red FROM v)
- SELECT seq, u AS url, {_AT.format("title")} AS title, k AS document_type, coalesce({_AT.format("schema_name")}, k) AS schema_name, coalesce({_AT.format("locale")}, 'en') AS language,
- CASE WHEN red THEN 'redirect' WHEN json_extract(raw_json, '$.withdrawn_notice') IS NOT NULL AND json_extract_string(raw_json, '$.withdrawn_notice') IS NOT NULL THEN 'withdrawn' ELSE 'published' END AS lifecycle,
- coalesce({_AT.format("public_updated_at")}, {_AT.format("updated_at")}, {_AT.format("lastmod")}, {_AT.format("first_published_at")}) AS timestamp FROM p WHERE {_AT.format("title")} IS NOT NULL""")
+_PATH = f"coalesce({_AT.format('base_path')}, '/')"
+_LAST = f"list_extract(string_split(regexp_replace({_PATH}, '/+$', ''), '/'), -1)"
+_NAMED = f"array_to_string(list_transform(string_split(replace({_LAST}, '-', ' '), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')"
+
+
+@query(f"""WITH v AS ({_V}), p AS (SELECT *, coalesce({_AT.format("canonical_url")}, 'https://www.gov.example' || {_PATH}) AS u, coalesce({_AT.format("document_type")}, 'unknown') AS k, coalesce({_AT.format("locale")}, 'en') AS l,
+ coalesce(json_extract_string(raw_json, '$.redirects'), '[]') <> '[]' AS red, json_extract_string(raw_json, '$.content_id') AS cid, lower(regexp_extract(coalesce({_AT.format("canonical_url")}, 'https://www.gov.example/'), '^\\s*[A-Za-z]+://([^/?#:\\s]+)', 1)) AS host FROM v)
+ SELECT seq, 'dataset/' || coalesce(nullif(lower(regexp_replace(coalesce(cid, ''), '[^A-Za-z0-9-]', '', 'g')), ''), 'route-' || left(sha256(u), 24)) || '-' || lower(l) AS open, u AS url, {_PATH} AS base_path, cid AS content_id,
+ coalesce({_AT.format("title")}, nullif({_NAMED}, ''), 'Untitled') AS title, coalesce(json_extract_string(raw_json, '$.description'), '') AS description, k AS document_type, coalesce({_AT.format("schema_name")}, k) AS schema_name, l AS language,
+ CASE WHEN red THEN 'redirect' WHEN json_extract_string(raw_json, '$.withdrawn_notice') IS NOT NULL THEN 'withdrawn' ELSE 'published' END AS lifecycle,
+ CASE WHEN red THEN 'redirect' WHEN k IN ('external_content', 'external_boundary') THEN 'external_boundary' WHEN k = 'gone' THEN 'tombstone' ELSE 'canonical' END AS routing_kind,
+ coalesce({_AT.format("public_updated_at")}, {_AT.format("updated_at")}, {_AT.format("lastmod")}, {_AT.format("first_published_at")}) AS timestamp,
+ CASE WHEN host = 'www.gov.example' THEN 'main' WHEN host = 'gov.example' OR host LIKE '%.gov.example' THEN 'domain_boundary' ELSE 'external' END AS host_kind FROM p""")
 def normalised_records(spark, folder):
     """All source records that are JSON objects as catalogue rows; those without a title are named by their path, else Untitled."""
     return projection.normalised(table(spark, folder, "source_records"), "seq", "raw_json")
@@ -62,10 +70,12 @@ def attachment_rows(spark, folder):
 
 @query(f"""WITH v AS (SELECT seq, CAST(json_extract_string(raw_json, '$.redirects') AS JSON) AS a FROM ({_V}) WHERE starts_with(json_extract_string(raw_json, '$.redirects'), '[')),
  e AS (SELECT seq, CAST(i AS INTEGER) AS ordinal, json_extract(a, '$[' || i || ']') AS x FROM v, range(0, 50) r(i) WHERE i < json_array_length(a))
- SELECT seq, ordinal, json_extract_string(x, '$.destination') AS destination FROM e""")
+ , p AS (SELECT seq, ordinal, json_extract_string(x, '$.path') AS path, json_extract_string(x, '$.destination') AS destination FROM e)
+ SELECT seq, ordinal, path, destination, CASE WHEN regexp_matches(destination, '^https?://') THEN destination WHEN starts_with(destination, '/') THEN 'https://www.gov.example' || destination ELSE '' END AS destination_url,
+ CASE WHEN regexp_matches(coalesce(nullif(destination, ''), path), '^https?://') THEN coalesce(nullif(destination, ''), path) ELSE 'https://www.gov.example' || coalesce(nullif(destination, ''), path) END AS edge_target FROM p""")
 def redirect_rows(spark, folder):
     rows = table(spark, folder, "source_records").where(F.try_parse_json("raw_json").isNotNull())
-    return projection.redirect_rows(rows, "seq", "raw_json").select("seq", "ordinal", "destination")
+    return projection.redirect_rows(rows, "seq", "raw_json")
 
 
 @query()
@@ -170,7 +180,7 @@ def topological_levels(spark, folder):
     return projection.topological_levels(down.unionByName(table(spark, folder, "supplier").select(node("nation", "s_nationkey").alias("source"), node("supplier", "s_suppkey").alias("target"))))
 
 
-@query(f"""WITH {_EDGES}, h AS (SELECT 'part/17' AS centre, * FROM edges WHERE source = 'part/17' OR target = 'part/17') SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY source, kind, target) - 1 AS INTEGER) AS place FROM h) WHERE place < 20""")
+@query(f"""WITH {_EDGES}, h AS (SELECT 'part/17' AS centre, * FROM edges WHERE source = 'part/17' OR target = 'part/17') SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY source, kind, target) - 1 AS INTEGER) AS place FROM h) WHERE place < 500""")
 def centre_view(spark, folder):
     hop = graph.one_hop(trade_edges(spark, folder), spark.createDataFrame([("part/17",)], "node string"))
     return projection.centre_views(hop.withColumn("centre", F.lit("part/17")), 250, 500)
@@ -180,7 +190,7 @@ def centre_view(spark, folder):
 def staged_search(spark, folder):
     """All evaluation items: BM25, a bonus for titles that the question quotes whole, neighbours of the best results over shared publishers."""
     rows, items = catalogue(spark, folder), table(spark, folder, "eval_items").select(F.col("item_id").alias("query_id"), "text")
-    ranked = index.bm25(items, rows, "rid", F.concat_ws(" ", "title", "description"), 50)
+    ranked = _index(spark, folder).bm25(items, 50)
     first = rows.where("publisher <> ''").groupBy("publisher").agg(F.min("rid").alias("target"))
     edges = rows.join(first, "publisher").where("rid <> target").select(F.col("rid").alias("source"), "target")
     titles = ranked.join(rows.select(F.col("rid").alias("ordinal"), "title"), "ordinal").join(items, "query_id")

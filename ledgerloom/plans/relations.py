@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import urls
-from ledgerloom.functions.identity import adjacency_bucket
 from ledgerloom.operators import assign, census, graph, hierarchy, windows
+from ledgerloom.operators.stored import traverse, write_adjacency
+from ledgerloom.plans.general import _TREE
 from ledgerloom.plans.text_search import _RECORDS, catalogue
-from ledgerloom.session import durable, table
+from ledgerloom.session import durable, stored, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -64,10 +65,10 @@ def one_hop(spark, folder):
 
 @query(f"WITH {_EDGES}, hit AS (SELECT * FROM edges WHERE source = 'part/17' OR target = 'part/17') SELECT source, kind, target FROM hit WHERE kind IN ('supplied by')")
 def bucket_traverse(spark, folder):
-    """One node's edges of some kinds, by its adjacency bucket: a reader that holds the buckets as partitions reads one of them."""
-    entries = graph.adjacency(graph.one_hop(trade_edges(spark, folder, False), spark.createDataFrame([("part/17",)], "node string")))
-    bucket = spark.range(1).select(adjacency_bucket(F.lit("part/17"))).first()[0]
-    return entries.where((F.col("bucket") == bucket) & (F.col("route") == "part/17") & F.col("kind").isin("supplied by")).select("source", "kind", "target")
+    """One node's edges of some kinds, from the one bucket of the written adjacency that holds it."""
+    lines, orders = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("k")), table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"))
+    path = stored("adjacency", lines.union(orders), lambda to: write_adjacency(trade_edges(spark, folder), to))
+    return traverse(spark, path, "part/17", ["supplied by"])
 
 
 @query(f"""WITH {_EDGES}, e AS (SELECT source AS a, target AS b FROM edges UNION SELECT target, source FROM edges), s(seed) AS (VALUES ('customer/5'), ('supplier/3')),
@@ -241,9 +242,9 @@ def partition_closure(spark, folder):
     return census.partition_closure(table(spark, folder, "inputs"), "role", "record_sha256", expected)
 
 
-@query("SELECT record_sha256, count(DISTINCT role) AS n_partitions FROM inputs GROUP BY record_sha256 HAVING count(DISTINCT role) > 1")
+@query("SELECT url, count(DISTINCT role) AS n_partitions FROM inputs GROUP BY url HAVING count(DISTINCT role) > 1")
 def shared_keys(spark, folder):
-    return census.shared_keys(table(spark, folder, "inputs"), "role", "record_sha256")
+    return census.shared_keys(table(spark, folder, "inputs"), "role", "url")
 
 
 @query("SELECT base_path, coalesce(list_sort(list(DISTINCT o) FILTER (o IS NOT NULL)), []) AS organisations FROM (SELECT DISTINCT base_path, unnest(CASE WHEN len(coalesce(organisations, [])) = 0 THEN [NULL] ELSE organisations END) AS o FROM acquisition) GROUP BY base_path")
@@ -346,9 +347,10 @@ def keyed_join(spark, folder):
     return table(spark, folder, "inputs").where("role = 't1_enumeration'").join(work, ["url", "locale"]).select("input_id", "work_id")
 
 
-@query("SELECT DISTINCT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT DISTINCT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
 def without_orders(spark, folder):
-    return table(spark, folder, "customer").join(table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+    """Customers without a large order."""
+    return table(spark, folder, "customer").join(table(spark, folder, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
 @query("SELECT DISTINCT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority LIKE '1%')")
@@ -371,7 +373,7 @@ def _tree(spark, folder):
     return durable(hierarchy.resolve(hierarchy.page_links(table(spark, folder, "acquisition"))[1]), "tree")
 
 
-@query()
+@query(_TREE + "SELECT root AS root_id, count(*) AS n_pages, max(coalesce(depth, -1)) AS max_depth FROM nodes LEFT JOIN tree USING (id) GROUP BY root")
 def tree_sizes(spark, folder):
     """Pages of each tree, and those caught in cycles."""
     return _tree(spark, folder).groupBy("root_id").agg(F.count(F.lit(1)).alias("n_pages"), F.max("depth").alias("max_depth"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import identity, urls
 from ledgerloom.functions.text import LEXICAL_STOP_WORDS, STOP_WORDS, TOKEN, browser_tokens, tokens
 from ledgerloom.operators import facets, index, quality
-from ledgerloom.session import durable, table
+from ledgerloom.operators.stored import SearchIndex, write_index
+from ledgerloom.session import durable, stored, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -29,7 +30,7 @@ ASKED = [
     (1, "seasonal contractor register rules"), (2, "Public notice: claim rules for Ashlode"), (3, "guidance published"), (4, "zzzunknown word"), (5, "the of and"),
     (6, "canal"), (7, "Withdraw a partial apprentice"), (8, "detailed_guide en water"), (9, "early-claim-archives quarry dataset"), (10, ""),
 ]
-CAP = 200  # of the SQL alone: the queries keep index.POSTING_CAP postings of a token
+CAP = index.POSTING_CAP
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,7 +41,7 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
 def _fields():
     return {
         "title": F.col("title"), "publisher": F.col("publisher"), "description": F.col("description"), "record_type": F.col("document_type"),
-        "schema": F.col("schema_name"), "url": F.col("url"), "language": F.col("language"), "lifecycle": F.col("lifecycle"),
+        "schema": F.col("schema_name"), "tags": F.array_join(F.from_json("tags", "array<string>"), " "), "url": F.col("url"), "language": F.col("language"), "lifecycle": F.col("lifecycle"),
     }
 
 
@@ -52,12 +53,22 @@ def _postings(spark: SparkSession, folder: str) -> DataFrame:
     return durable(index.postings(catalogue(spark, folder), "rid", _fields()), "postings")
 
 
+def _index(spark: SparkSession, folder: str) -> SearchIndex:
+    """The index of the records, written when it is first asked for."""
+
+    def build(path: str) -> None:
+        names = {"open": F.col("open"), "url": F.col("url"), "content_id": F.col("content_id"), "title_key": F.col("title_key")}
+        write_index(catalogue(spark, folder), "rid", _fields(), F.concat_ws(" ", "title", "description"), names, path)
+
+    return SearchIndex(spark, stored("index", table(spark, folder, "records"), build))
+
+
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _FOLD = "lower(regexp_replace(strip_accents({}), '[^\\x00-\\x7F]', '', 'g'))"
 _RUNS = "list_filter(list_transform(regexp_extract_all(" + _FOLD + ", '" + TOKEN + "'), lambda t: regexp_replace(t, '^[._-]+|[._-]+$', '', 'g')), lambda t: length(t) >= 2 AND t NOT IN (" + _STOP + "))"
 _RECORDS = "records_once AS (SELECT DISTINCT ON (rid) * FROM records)"
 _FIELD_ROWS = " UNION ALL ".join(
-    f"SELECT rid AS ordinal, {w} AS w, {m} AS m, {c} AS x FROM records_once" for (w, m), c in ((index.FIELDS[f], c) for f, c in (("title", "title"), ("publisher", "publisher"), ("description", "description"), ("record_type", "document_type"), ("schema", "schema_name"), ("url", "url"), ("language", "language"), ("lifecycle", "lifecycle")))
+    f"SELECT rid AS ordinal, {w} AS w, {m} AS m, {c} AS x FROM records_once" for (w, m), c in ((index.FIELDS[f], c) for f, c in (("title", "title"), ("publisher", "publisher"), ("description", "description"), ("record_type", "document_type"), ("schema", "schema_name"), ("tags", "array_to_string(json_extract_string(tags, '$[*]'), ' ')"), ("url", "url"), ("language", "language"), ("lifecycle", "lifecycle")))
 )
 _POSTINGS = f"""{_RECORDS}, field_rows AS ({_FIELD_ROWS}),
  ft AS (SELECT DISTINCT ordinal, w, m, unnest({_RUNS.format("x")}) AS token FROM field_rows WHERE x <> ''),
@@ -96,15 +107,14 @@ def prefix_completions(spark, folder):
 
 
 def _results(spark, folder):
-    found = _postings(spark, folder)
-    return index.search(_asked(spark), index.capped(found), index.lexicon(found))
+    return _index(spark, folder).search(_asked(spark))
 
 
 @query(f"""WITH {_SEARCH} SELECT query_id, ordinal, CAST(search_score AS BIGINT) AS search_score, matched_tokens, rank, r.open, r.title,
  'matched ' || matched_tokens || ' of ' || n_tokens || ' query tokens' AS why FROM results JOIN records_once r ON r.rid = ordinal""")
 def keyword_search(spark, folder):
     """Ranked search, documents fetched after the ranking."""
-    shown = catalogue(spark, folder).select(F.col("rid").alias("ordinal"), "open", "title")
+    shown = _index(spark, folder).table("documents").select(F.col("rid").alias("ordinal"), "open", "title")
     why = F.format_string("matched %d of %d query tokens", "matched_tokens", "n_tokens")
     return _results(spark, folder).join(shown, "ordinal").select("query_id", "ordinal", F.col("search_score").cast("long").alias("search_score"), "matched_tokens", "rank", "open", "title", why.alias("why"))
 
@@ -125,7 +135,7 @@ _WORDS = ["canal", "regist", "publi", "watercourse", "zzz", "dat", "en"]
  SELECT * FROM ranked WHERE rank <= 3""")
 def suggestions(spark, folder):
     words = spark.createDataFrame([(w,) for w in _WORDS], "word string")
-    return index.suggest(words, index.prefixes(index.lexicon(index.postings(catalogue(spark, folder), "rid", _fields()))))
+    return _index(spark, folder).suggest(words)
 
 
 @query(f"""WITH {_POSTINGS}, {_PREFIXES}, words(query_id, token) AS (VALUES (1, 'canal'), (1, 'licens'), (2, 'quarr'), (2, 'seasonal'), (3, 'zzz')),
@@ -139,23 +149,25 @@ def suggestions(spark, folder):
  SELECT query_id, ordinal, CAST(score AS BIGINT) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ordinal) AS rank FROM whole JOIN wanted USING (query_id) WHERE held = wanted) WHERE rank <= 20""")
 def prefix_group_search(spark, folder):
     """Search where a token that the lexicon lacks stands for its best completions."""
-    found = _postings(spark, folder)
-    terms = index.lexicon(found)
     asked = spark.createDataFrame([(1, "canal"), (1, "licens"), (2, "quarr"), (2, "seasonal"), (3, "zzz")], "query_id int, token string")
-    groups = index.expand_missing(asked, terms, index.prefixes(terms))
-    return index.grouped_search(groups, index.capped(found)).select("query_id", "ordinal", F.col("score").cast("long").alias("score"), "rank")
+    own = _index(spark, folder)
+    return own.grouped_search(own.groups(asked)).select("query_id", "ordinal", F.col("score").cast("long").alias("score"), "rank")
 
 
-@query(f"""WITH {_RECORDS}, {_ASKED}, spread AS (SELECT rid AS ordinal, {_RUNS.format("concat_ws(' ', title, description)")} AS ts FROM records_once),
+def _bm25(asked: str) -> str:
+    return f"""WITH {_RECORDS}, {asked}, spread AS (SELECT rid AS ordinal, {_RUNS.format("concat_ws(' ', title, description)")} AS ts FROM records_once),
  sizes AS (SELECT ordinal, len(ts) AS len FROM spread WHERE len(ts) > 0), st AS (SELECT count(*) AS n, avg(len) AS av FROM sizes),
  counts AS (SELECT ordinal, token, count(*) AS tf FROM (SELECT ordinal, unnest(ts) AS token FROM spread) GROUP BY ALL),
  dfs AS (SELECT token, count(*) AS df FROM counts GROUP BY token),
  qt AS (SELECT query_id, unnest(list_distinct({_RUNS.format("text")})) AS token FROM asked),
  hits AS (SELECT query_id, ordinal, round(sum(greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / av))), 6) AS score
           FROM qt JOIN counts USING (token) JOIN dfs USING (token) JOIN sizes USING (ordinal), st GROUP BY query_id, ordinal)
- SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ordinal) AS rank FROM hits) WHERE rank <= 10""")
+ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ordinal) AS rank FROM hits) WHERE rank <= 10"""
+
+
+@query(_bm25(_ASKED))
 def bm25_topk(spark, folder):
-    return index.bm25(_asked(spark), catalogue(spark, folder), "rid", F.concat_ws(" ", "title", "description"))
+    return _index(spark, folder).bm25(_asked(spark))
 
 
 _FACETS = ("document_type", "schema_name", "language", "lifecycle", "publisher", "jurisdiction")
@@ -269,19 +281,41 @@ def quoted_phrases(spark, folder):
     return rows.where(F.size("phrases") > 0)
 
 
-@query("""WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS ws FROM eval_items)
- SELECT item_id, list_slice(list_distinct_in_order, 1, 32) AS terms FROM (SELECT item_id, list_filter(ws, lambda w, i: length(w) >= 2 AND NOT regexp_full_match(w, '[0-9]+') AND list_position(ws, w) = i) AS list_distinct_in_order FROM w)""")
+_LEXICAL = ", ".join(f"'{w}'" for w in LEXICAL_STOP_WORDS)
+
+
+@query(f"""WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS ws FROM eval_items)
+ SELECT item_id, list_slice(list_distinct_in_order, 1, 32) AS terms FROM (SELECT item_id, list_filter(ws, lambda w, i: length(w) >= 2 AND w NOT IN ({_LEXICAL}) AND NOT regexp_full_match(w, '[0-9]+') AND list_position(ws, w) = i) AS list_distinct_in_order FROM w)""")
 def lexical_terms(spark, folder):
     """The first 32 distinct words of two letters or more that are neither stop words nor numbers, in order."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1))
     return table(spark, folder, "eval_items").select("item_id", F.slice(F.filter(words, lambda w: (F.length(w) >= 2) & ~w.isin(LEXICAL_STOP_WORDS) & ~w.rlike("^[0-9]+$")), 1, 32).alias("terms"))
 
 
-@query()
+@query(_bm25("asked AS (SELECT item_id AS query_id, text FROM eval_items)"))
 def evaluation_search(spark, folder):
     """All evaluation items as queries at once, top 10 of each by BM25."""
     asked = table(spark, folder, "eval_items").select(F.col("item_id").alias("query_id"), "text")
-    return index.bm25(asked, catalogue(spark, folder), "rid", F.concat_ws(" ", "title", "description"))
+    return _index(spark, folder).bm25(asked)
+
+
+_TITLE = "seasonal contractor: register rules for hexcombe"
+
+
+@query(f"""WITH {_RECORDS} SELECT identifier, kind, rid AS ordinal FROM (SELECT title_key AS identifier, 'title_key' AS kind, rid FROM records_once UNION ALL SELECT url, 'url', rid FROM records_once)
+ WHERE identifier IN ('{_TITLE}', 'https://www.gov.example/none') OR kind = 'url' AND identifier = (SELECT min(url) FROM records_once)""")
+def exact_search(spark, folder):
+    """Records whose title (without letter case) or address equals what is asked, from the buckets of these."""
+    first = table(spark, folder, "records").agg(F.min("url").alias("u")).first()["u"]
+    return _index(spark, folder).exact([_TITLE, "https://www.gov.example/none", *([first] if first else [])], ["title_key", "url"])
+
+
+@query(f"WITH {_RECORDS} SELECT rid, open, url, title FROM records_once WHERE open = (SELECT min(open) FROM records_once)")
+def fetched_record(spark, folder):
+    """One record by its route: a bucket of the route index, then its chunk of documents."""
+    first = table(spark, folder, "records").agg(F.min("open").alias("o")).first()["o"]
+    row = _index(spark, folder).fetch(first, "open") if first else {}
+    return spark.createDataFrame([tuple(row[c] for c in ("rid", "open", "url", "title"))] if row else [], "rid int, open string, url string, title string")
 
 
 @query()

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +94,26 @@ def parts(spark: SparkSession, tables: list[DataFrame]) -> DataFrame:
     return found
 
 
+def stored(what: str, source: DataFrame, build: Callable[[str], None]) -> str:
+    """The folder of something made from files and used many times, such as an index: made by build(path) when it is first asked for, found again as long as the application runs and the
+    files are the same (by name, size and time)."""
+    spark = source.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    seen = hashlib.sha256()
+    for name in sorted(source.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        state = path.getFileSystem(conf).getFileStatus(path)
+        seen.update(f"{name} {state.getLen()} {state.getModificationTime()}\n".encode())
+    folder = f"{os.path.dirname(scratch(spark, what))}/{what}-{seen.hexdigest()[:32]}"
+    done = jvm.org.apache.hadoop.fs.Path(f"{folder}/_DONE")
+    fs = done.getFileSystem(conf)
+    if not fs.exists(done):
+        drop_path(spark, folder)
+        build(folder)
+        fs.create(done).close()
+    return folder
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove durable tables that no plan reads any more."""
     for t in tables:
