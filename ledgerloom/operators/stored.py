@@ -40,6 +40,7 @@ def posting_partitions(lists: DataFrame, limit: int = PARTITION_BYTES) -> DataFr
 
 def write_index(rows: DataFrame, ordinal: str, fields: Mapping[str, Column], text: Column, names: Mapping[str, Column], path: str, cap: int = index.POSTING_CAP, limit: int = PARTITION_BYTES) -> None:
     """Write all tables of an index over rows with a unique ordinal. fields are indexed with their weights, text is what BM25 ranks, names are the identifiers a row is found by."""
+    rows = durable(rows, "indexed-rows")
     found = durable(index.postings(rows, ordinal, fields), "postings")
     terms = durable(found.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "lexicon")
     lists = durable(index.capped(found, cap).select("token", "ordinal", "score", "mask", "rank", "shard"), "lists")
@@ -65,11 +66,14 @@ def _write_sorted(df: DataFrame, path: str, by: str, order: Sequence[str]) -> No
     df.withColumn("lead", F.left(by, F.lit(1))).repartitionByRange(by, *order).sortWithinPartitions("lead", by, *order).write.partitionBy("lead").parquet(path)
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    found = spark.read.parquet(path)
-    if "lead" not in found.columns:
-        return found
-    return spark.read.schema(T.StructType([f if f.name != "lead" else T.StructField("lead", T.StringType()) for f in found.schema])).parquet(path)
+    """A table as it was written, its schema found once. Its folders are letters and digits, read as text."""
+    if path not in _schemas:
+        _schemas[path] = T.StructType([f if f.name != "lead" else T.StructField("lead", T.StringType()) for f in spark.read.parquet(path).schema])
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _led(table: DataFrame, by: str, values: Sequence[str]) -> DataFrame:
@@ -89,32 +93,32 @@ class SearchIndex:
         self.spark, self.path = spark, path
 
     def table(self, name: str) -> DataFrame:
-        """A table as it was written. Its folders are letters and digits, read as text."""
         return _read(self.spark, f"{self.path}/{name}")
 
-    def _of(self, name: str, keys: DataFrame, key: str) -> DataFrame:
-        """The part of a sharded table that the keys (of a column) fall into."""
+    def _parts(self, keys: DataFrame, key: str, *names: str) -> list[DataFrame]:
+        """The parts of sharded tables that the keys (of a column) fall into."""
         shards = [r["s"] for r in keys.select(search_shard(F.col(key)).alias("s")).distinct().collect()]
-        return _led(self.table(name), "shard", shards)
+        return [_led(self.table(name), "shard", shards) for name in names]
 
     def search(self, queries: DataFrame, limit: int = 20, cap: int = index.POSTING_CAP) -> DataFrame:
-        asked = index.query_tokens(queries)
-        return index.search(queries, self._of("postings", asked, "token"), self._of("lexicon", asked, "token").select("token", "df"), limit, cap)
+        lists, terms = self._parts(index.query_tokens(queries), "token", "postings", "lexicon")
+        return index.search(queries, lists, terms.select("token", "df"), limit, cap)
 
     def bm25(self, queries: DataFrame, limit: int = 10) -> DataFrame:
-        asked, whole = index.query_tokens(queries), self.table("statistics").first()
-        counts, df = self._of("terms", asked, "token"), self._of("frequencies", asked, "token")
+        whole = self.table("statistics").first()
+        counts, df = self._parts(index.query_tokens(queries), "token", "terms", "frequencies")
         return index.bm25(queries, counts.drop("shard"), df.drop("shard"), whole["n"], whole["average"] or 1.0, limit)
 
     def suggest(self, words: DataFrame) -> DataFrame:
-        return index.suggest(words, self._of("prefixes", words, "word"))
+        return index.suggest(words, *self._parts(words, "word", "prefixes"))
 
     def groups(self, query: DataFrame) -> DataFrame:
         """(query_id, token, member) of (query_id, token), see index.expand_missing."""
-        return index.expand_missing(query, self._of("lexicon", query, "token").select("token"), self._of("prefixes", query, "token"))
+        terms, completions = self._parts(query, "token", "lexicon", "prefixes")
+        return index.expand_missing(query, terms.select("token"), completions)
 
     def grouped_search(self, groups: DataFrame, limit: int = 20) -> DataFrame:
-        return index.grouped_search(groups, self._of("postings", groups, "member"), limit)
+        return index.grouped_search(groups, *self._parts(groups, "member", "postings"), limit)
 
     def resolve(self, identifier: str, kind: str | None = None) -> dict:
         """The route entry (identifier, kind, ordinal) of one identifier, of the kind if that is stated. An error if none answers, or several rows."""
