@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import unicodedata
 
 import pandas as pd
@@ -52,6 +53,23 @@ def _browser_fold_udf(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not "\u0300" <= c <= "\u036f").lower())
 
 
+@F.pandas_udf(T.StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else html.unescape(t))
+
+
+def strip_markdown(column: Column) -> Column:
+    """A Markdown text without its marking: links as their labels, the marks of code, emphasis, quotes and headings dropped, entities resolved, white space as single spaces."""
+    bare = F.regexp_replace(F.regexp_replace(column, r"\[([^\]]*)\]\([^)]*\)", "$1"), "[`*_>#]", "")
+    entity = F.contains(bare, F.lit("&"))
+    return F.trim(F.regexp_replace(F.when(entity, _unescaped(F.when(entity, bare))).otherwise(bare), r"(?U)\s+", " "))
+
+
+def stable_id(prefix: str, *parts: Column, size: int = 16) -> Column:
+    """A short id of several texts: the prefix and the first digits of their SHA-256, in capitals."""
+    return F.concat(F.lit(prefix + "-"), F.upper(F.left(F.sha2(F.concat_ws("\x1f", *parts), 256), F.lit(size))))
+
+
 def browser_tokens(column: Column) -> Column:
     """The distinct tokens of a text as the browser takes them: NFKD, of other than ASCII only U+0300 to U+036F dropped, so that letters such as ß, ø and ł part tokens; null for null."""
     plain = column.rlike(r"^[\x00-\x7f]*$")

@@ -130,6 +130,14 @@ def quota_suite(rows: DataFrame, groups: Sequence[str], order: Sequence[Column],
     return top_per_key(rows, groups, order, quota)
 
 
+def best_for_pair(pairs: DataFrame, scores: DataFrame, member: str, score: str) -> DataFrame:
+    """The best member of each pair (a, b): scores (side, member, score) of members on either side; the one of the greatest sum over both sides, ties by member. Members that one side lacks are no candidates."""
+    left = pairs.join(scores.select(F.col("side").alias("a"), F.col(member), F.col(score).alias("_l")), "a")
+    both = left.join(scores.select(F.col("side").alias("b"), F.col(member), F.col(score).alias("_r")), ["b", member])
+    best = both.groupBy("a", "b").agg(F.min(F.struct((-(F.col("_l") + F.col("_r"))).alias("m"), F.col(member))).alias("w"))
+    return best.select("a", "b", F.col(f"w.{member}").alias(member), (-F.col("w.m")).alias(score))
+
+
 def combinations(rows: DataFrame, group: str, key: str) -> DataFrame:
     """(group, a, b) with a < b: pairs of a group's distinct keys. Meant for small groups (members of an overlay), where the pairs are the result."""
     once = rows.select(group, key).distinct()

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Mapping, Sequence
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ledgerloom.session import durable
 
 
 def ranking_metrics(results: DataFrame, gold: DataFrame, k: int = 10) -> DataFrame:
@@ -14,10 +19,13 @@ def ranking_metrics(results: DataFrame, gold: DataFrame, k: int = 10) -> DataFra
     being irrelevant. A query without results scores 0; one without relevant items is left out."""
     wanted = gold.where("grade > 0")
     gain = lambda g: F.pow(F.lit(2.0), g) - 1
-    from pyspark.sql.window import Window
-
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("grade"), "item"))
-    ideal = wanted.withColumn("place", place).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_relevant"), F.sum(F.when(F.col("place") <= k, gain(F.col("grade")) / F.log2(F.col("place") + 1.0))).alias("ideal"))
+    # The ideal order needs only the number of items of each grade: of equal grades any order is as good. Counts are combined before the shuffle, so a query of a third of all rows is a few of them.
+    grades = wanted.groupBy("query_id", "grade").agg(F.count(F.lit(1)).alias("n"))
+    after = F.sum("n").over(Window.partitionBy("query_id").orderBy(F.desc("grade")))
+    discounts = F.array(*[F.lit(sum(1 / math.log2(p + 1) for p in range(1, j + 1))) for j in range(k + 1)])
+    upto = lambda n: F.element_at(discounts, (F.least(F.lit(k), n) + 1).cast("int"))
+    share = gain(F.col("grade")) * (upto(F.col("after")) - upto(F.col("after") - F.col("n")))
+    ideal = grades.withColumn("after", after).groupBy("query_id").agg(F.sum("n").alias("n_relevant"), F.sum(share).alias("ideal"))
     hits = results.where(F.col("rank") <= k).join(wanted, ["query_id", "item"]).groupBy("query_id")
     hits = hits.agg(F.count(F.lit(1)).alias("hits"), F.min("rank").alias("first"), F.sum(gain(F.col("grade")) / F.log2(F.col("rank") + 1.0)).alias("dcg"))
     both = ideal.join(hits, "query_id", "left")
@@ -43,9 +51,21 @@ def confusion(rows: DataFrame, by: Sequence[str], expected: Column, observed: Co
 
 
 def percentiles(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
-    """Nearest-rank percentiles (the smallest value with at least that share of the rows up to it); nulls don't count. Exact: a group's buffer
-    holds each of its distinct values once, combined before the shuffle."""
-    return rows.groupBy(*by).agg(*[F.expr(f"percentile_disc({s}) WITHIN GROUP (ORDER BY {value})").alias(f"p{round(s * 100)}") for s in shares], F.count(value).alias("n"))
+    """Nearest-rank percentiles (the smallest value with at least that share of the rows up to it); nulls don't count, and a group of nulls has nulls. Exact, for groups of any size: distinct values with
+    their counts are range-partitioned in order, and a value's running count is that within its partition plus the counts of the partitions before. No group meets in one task."""
+    keys = [f"_k{i}" for i in range(len(by))]
+    named = rows.select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], F.col(value).alias("_v"))
+    counts = named.groupBy(*keys, "_v").agg(F.count("_v").alias("_n"))
+    placed = durable(counts.repartitionByRange(*[F.col(k) for k in keys], "_v").withColumn("_p", F.spark_partition_id()), "percentiles")
+    sums = placed.groupBy(*keys, "_p").agg(F.sum("_n").alias("_s"))  # a row for each group and partition that holds some of it
+    whole = Window.partitionBy(*keys)
+    sums = sums.withColumn("_before", F.sum("_s").over(whole.orderBy("_p")) - F.col("_s")).withColumn("_total", F.sum("_s").over(whole)).drop("_s")
+    on = functools.reduce(lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*keys, "_p")])
+    joined = placed.alias("r").join(sums.alias("s"), on).select("r.*", "s._before", "s._total")
+    running = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_p").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    found = joined.withColumn("_r", running)
+    picks = [F.min(F.when((F.col("_r") >= F.ceil(F.col("_total") * s - 1e-9)) & F.col("_v").isNotNull() & (F.col("_n") > 0), F.col("_v"))).alias(f"p{round(s * 100)}") for s in shares]
+    return found.groupBy(*keys).agg(*picks, F.max("_total").alias("n")).select(*[F.col(k).alias(b) for b, k in zip(by, keys, strict=True)], *[f"p{round(s * 100)}" for s in shares], "n")
 
 
 def slices(rows: DataFrame, system: str, dimensions: Sequence[str], measures: Sequence[str]) -> DataFrame:

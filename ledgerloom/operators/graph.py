@@ -101,6 +101,20 @@ def identifiers(rows: DataFrame, key: str, names: Mapping[str, Column]) -> DataF
     return rows.select(key, F.explode(each).alias("i")).where(F.col("i.identifier") != "").select("i.identifier", "i.kind", key).distinct()
 
 
+def one_match(asked: DataFrame, index: DataFrame, key: str, kinds: Mapping[str, str]) -> DataFrame:
+    """(identifier, kind, key, fault) of asked identifiers (identifier, and a kind or null). A null kind follows from the identifier's prefix (kinds: prefix -> kind), else any will do. fault is
+    `unknown` where no row answers and `ambiguous` where several do; key is null then."""
+    inferred = F.coalesce("kind", *[F.when(F.startswith("identifier", F.lit(p)), F.lit(k)) for p, k in kinds.items()])
+    wanted = asked.distinct().select("identifier", inferred.alias("kind"))
+    known = index.select("identifier", F.col("kind").alias("_kind"), F.col(key).alias("_key")).distinct()
+    found = wanted.join(known, "identifier", "left").where(F.col("_kind").isNull() | F.col("kind").isNull() | (F.col("kind") == F.col("_kind")))
+    counts = found.groupBy("identifier", "kind").agg(F.countDistinct("_key").alias("n"), F.min("_key").alias(key))
+    # What only rows of other kinds answer is unknown too.
+    whole = wanted.select("identifier", F.col("kind").alias("_k")).join(counts.withColumnRenamed("kind", "_c").withColumnRenamed("identifier", "_i"), (F.col("identifier") == F.col("_i")) & F.col("_k").eqNullSafe(F.col("_c")), "left")
+    fault = F.when(F.coalesce("n", F.lit(0)) == 0, "unknown").when(F.col("n") > 1, "ambiguous")
+    return whole.select("identifier", F.col("_k").alias("kind"), F.when(F.col("n") == 1, F.col(key)).alias(key), fault.alias("fault"))
+
+
 def resolve(asked: DataFrame, index: DataFrame, key: str) -> DataFrame:
     """(identifier, n_matches, key) for each asked identifier: the key only where exactly one row answers."""
     found = asked.distinct().join(index.select("identifier", key).distinct(), "identifier", "left").groupBy("identifier").agg(F.count(key).alias("n_matches"), F.min(key).alias(key))
@@ -135,7 +149,11 @@ def bounded_bfs(edges: DataFrame, seeds: DataFrame, hops: int = 2, max_nodes: in
     front = reached
     for hop in range(1, hops + 1):
         step = front.select("seed", F.col("node").alias("a")).join(both, "a").select("seed", F.col("b").alias("node")).distinct()
-        front = durable(step.join(reached.select("seed", "node"), ["seed", "node"], "left_anti").withColumn("hop", F.lit(hop)), "bfs-front")
+        fresh = step.join(reached.select("seed", "node"), ["seed", "node"], "left_anti")
+        if max_nodes is not None:
+            # A hop's nodes beyond max_nodes can't be shown, and what they lead to comes after all of this hop: no hub is carried on further than that.
+            fresh = fresh.withColumn("_place", F.row_number().over(Window.partitionBy("seed").orderBy("node"))).where(F.col("_place") <= max_nodes + 1).drop("_place")
+        front = durable(fresh.withColumn("hop", F.lit(hop)), "bfs-front")
         reached = reached.unionByName(front)
     if max_nodes is None:
         return reached

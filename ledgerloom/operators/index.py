@@ -159,6 +159,12 @@ def bm25(queries: DataFrame, counts: DataFrame, df: DataFrame, n: int, average:
     return hits.withColumn("rank", rank).where(F.col("rank") <= limit)
 
 
+def ranked(hits: DataFrame, limit: int) -> DataFrame:
+    """(query_id, ordinal, score, rank) of hits, the best `limit` of each query, ties by ordinal."""
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "ordinal"))
+    return hits.withColumn("rank", rank).where(F.col("rank") <= limit)
+
+
 def token_runs_of(text: Column) -> Column:
     from ledgerloom.functions.text import folded
 

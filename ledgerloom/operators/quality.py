@@ -159,6 +159,45 @@ def canonical_sha256(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
+@F.pandas_udf(T.StringType())
+def canonical_json(texts: pd.Series) -> pd.Series:
+    """A JSON text in canonical form: sorted fields, no white space, UTF-8 unescaped. Null for what is no JSON."""
+    import json
+
+    from ledgerloom.functions.json_tools import loads
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(loads(text), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+        except (ValueError, RecursionError):
+            return None
+
+    return texts.map(one)
+
+
+def citation_gate(citations: DataFrame, sources: DataFrame, reviews: DataFrame, waivers: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """(citation_id, released, failed): the release decision on each citation (citation_id, source_id, claim_id, ...), a conjunction of checks: those given, and that its source is known and not withdrawn (sources: source_id, withdrawn),
+    that exactly one review accepts its claim (reviews: claim_id, accepted), and that its id is unique. A waiver (citation_id, check) lifts a check. A check that is null fails."""
+    once = sources.groupBy("source_id").agg(F.max(F.coalesce(F.col("withdrawn").cast("int"), F.lit(0))).alias("_withdrawn"))
+    votes = reviews.groupBy("claim_id").agg(F.count(F.lit(1)).alias("_reviews"), F.sum(F.coalesce(F.col("accepted").cast("int"), F.lit(0))).alias("_accepted"))
+    copies = citations.groupBy("citation_id").agg(F.count(F.lit(1)).alias("_copies"))
+    lifted = waivers.groupBy("citation_id").agg(F.collect_set("check").alias("_waived"))  # at most one entry a check
+    whole = citations.join(once, "source_id", "left").join(votes, "claim_id", "left").join(copies, "citation_id", "left").join(lifted, "citation_id", "left")
+    every = {**checks, "source_known": F.col("_withdrawn").isNotNull(), "source_current": F.col("_withdrawn") == 0, "claim_reviewed_once": F.col("_reviews") == 1, "claim_accepted": F.col("_accepted") == 1, "unique_id": F.col("_copies") == 1}
+    failed = F.array_compact(F.array(*[F.when(~F.coalesce(t, F.lit(False)), F.lit(n)) for n, t in every.items()]))
+    left = F.array_sort(F.array_except(failed, F.coalesce("_waived", F.array().cast("array<string>"))))
+    return whole.select("citation_id", (F.size(left) == 0).alias("released"), left.alias("failed")).distinct()
+
+
+def topology_faults(written: DataFrame, recomputed: DataFrame, key: str = "host") -> DataFrame:
+    """(key, column, written, recomputed) where a written topology differs from one made anew; a host that one of them lacks differs in every column."""
+    columns = [c for c in recomputed.columns if c != key]
+    side = lambda df, n: df.select(F.col(key), F.struct(*[F.to_json(F.struct(c)).alias(c) for c in columns]).alias(n))
+    both = side(written, "w").join(side(recomputed, "r"), key, "full_outer")
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"w.{c}").alias("written"), F.col(f"r.{c}").alias("recomputed")) for c in columns])
+    return both.select(key, F.explode(each).alias("d")).select(key, "d.*").where(~F.col("written").eqNullSafe(F.col("recomputed")))
+
+
 def timestamp_key(text: str) -> tuple[int, float, str]:
     """(validity, epoch seconds, text): ISO forms as datetime.fromisoformat reads them are valid, UTC where they state no zone."""
     from datetime import UTC, datetime

@@ -294,10 +294,12 @@ def html_text(spark, folder):
     return web.page_parts(_pages(spark, folder), "doc_id", "html").select("doc_id", "language", "text", "types")
 
 
-@query("SELECT n_regionkey AS k, 'url' AS kind, 'https://www.gov.example/' || lower(n_name) AS loc, '2024-01-' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') AS lastmod FROM nation")
+@query("SELECT n_regionkey AS k, 'url' AS kind, 'https://www.gov.example/' || lower(n_name) AS loc, CASE WHEN n_nationkey % 3 > 0 THEN '2024-01-' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') END AS lastmod FROM nation")
 def sitemap_rows(spark, folder):
+    """Sitemaps in which every third entry has no date."""
     rows = table(spark, folder, "nation")
-    entry = F.concat(F.lit("<url><loc> https://www.gov.example/"), F.lower("n_name"), F.lit(" </loc><lastmod>2024-01-"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0"), F.lit("</lastmod></url>"))
+    dated = F.concat(F.lit("<lastmod>2024-01-"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0"), F.lit("</lastmod>"))
+    entry = F.concat(F.lit("<url><loc> https://www.gov.example/"), F.lower("n_name"), F.lit(" </loc>"), F.when(F.col("n_nationkey") % 3 > 0, dated).otherwise(""), F.lit("</url>"))
     maps = rows.groupBy("n_regionkey").agg(F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.array_sort(F.collect_list(entry)), ""), F.lit("</urlset>")).alias("xml"))
     return web.sitemap_entries(maps.select(F.col("n_regionkey").alias("k"), "xml"), "k", "xml")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,39 @@ def read_raw_jsonl(spark: SparkSession, path: str, max_bytes: int | None = None)
     return lines.withColumn("line", F.when(F.octet_length("line") > max_bytes, too_long).otherwise(F.col("line")))
 
 
+def line_faults(spark: SparkSession, path: str, max_bytes: int | None = None, canonical: bool = True) -> DataFrame:
+    """(file, fault, n) of JSON lines: not_an_object, too_long (over max_bytes), and not_canonical where canonical spelling is asked for (sorted fields, no white space, UTF-8 unescaped). Empty lines have no fault."""
+    from ledgerloom.operators.quality import canonical_json
+
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("line")).where(F.trim("line") != "")
+    tests = {"not_an_object": F.try_parse_json("line").isNull() | ~F.col("line").rlike(r"^\s*\{")}
+    if max_bytes is not None:
+        tests["too_long"] = F.octet_length("line") > max_bytes
+    if canonical:
+        tests["not_canonical"] = ~F.coalesce(canonical_json("line") == F.col("line"), F.lit(False))
+    found = lines.select("file", F.explode(F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests.items()]))).alias("fault"))
+    return found.groupBy("file", "fault").agg(F.count(F.lit(1)).alias("n"))
+
+
+def read_gzip_json(spark: SparkSession, path: str, compressed: int, uncompressed: int) -> DataFrame:
+    """(file, text) of gzip files that are read whole, each within bounds: more bytes than either bound, or damage, fails the job. Unpacking stops at the bound."""
+    files = spark.read.format("binaryFile").load(path)
+
+    @F.pandas_udf(T.StringType())
+    def unpacked(contents: pd.Series) -> pd.Series:
+        def one(content: bytes) -> str:
+            machine = zlib.decompressobj(31)
+            text = machine.decompress(content, uncompressed + 1)
+            if len(text) > uncompressed or not machine.eof:
+                raise ValueError("more bytes than allowed, or a damaged file")
+            return text.decode()
+
+        return contents.map(one)
+
+    checked = F.when(F.col("length") > compressed, F.raise_error(F.concat(F.lit("too large: "), F.col("path"))).cast("binary")).otherwise(F.col("content"))
+    return files.select(F.col("path").alias("file"), unpacked(checked).alias("text"))
+
+
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Files that each hold one JSON array of objects; a file is one task."""
     return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)

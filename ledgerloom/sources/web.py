@@ -6,23 +6,43 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
 from html.parser import HTMLParser
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.identity import part_key
+from ledgerloom.functions.text import strip_markdown
+
 
 def sitemap_entries(rows: DataFrame, key: str, xml: str) -> DataFrame:
     """(key, kind, loc, lastmod) of sitemap texts: entries of a urlset or a sitemapindex, whatever the namespace."""
-    at = lambda tag, field: F.xpath(F.col(xml), F.lit(f'//*[local-name()="{tag}"]/*[local-name()="{field}"]/text()'))
-    parts = []
-    for kind, tag in (("url", "url"), ("sitemap", "sitemap")):
-        entry = rows.where(F.col(xml).contains(f"{tag}>")).select(key, F.lit(kind).alias("kind"), at(tag, "loc").alias("locs"), at(tag, "lastmod").alias("mods"))
-        same = F.size("locs") == F.size("mods")  # a missing lastmod leaves no gap in the list, so dates count only if all have one
-        parts.append(entry.select(key, "kind", F.posexplode("locs").alias("_pos", "loc"), "mods", same.alias("same")).select(key, "kind", F.trim("loc").alias("loc"), F.when(F.col("same"), F.get("mods", F.col("_pos"))).alias("lastmod")))
-    return parts[0].unionByName(parts[1])
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [(k, *entry) for k, text in zip(pdf[key], pdf[xml], strict=True) for entry in _entries(text)]
+            yield pd.DataFrame(found, columns=[key, "kind", "loc", "lastmod"])
+
+    return rows.select(key, xml).mapInPandas(run, f"`{key}` {kind}, kind string, loc string, lastmod string")
+
+
+def _entries(text: str | None) -> Iterator[tuple[str, str, str | None]]:
+    """(kind, loc, lastmod) of each entry by itself, so that one without a date takes no other's. An entry without an address gives nothing, nor does text that is no XML."""
+    local = lambda e: e.tag.rpartition("}")[2] if isinstance(e.tag, str) else ""
+    try:
+        root = ElementTree.fromstring(text.strip().encode()) if text and text.strip() else None
+    except ElementTree.ParseError:
+        root = None
+    for entry in root if root is not None else ():
+        if local(entry) in ("url", "sitemap"):
+            values = {local(e): (e.text or "").strip() for e in reversed(entry)}  # of repeated fields the first holds
+            if values.get("loc"):
+                yield local(entry), values["loc"], values.get("lastmod") or None
 
 
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
@@ -30,6 +50,12 @@ def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "url").option("ignoreNamespace", "true").schema("loc string, lastmod string").load(path)
 
 
+#: Extensions of documents, types of pages, and beginnings of paths that are never read.
+RESOURCE_EXTENSIONS = ("csv", "doc", "docx", "epub", "geojson", "ics", "json", "ods", "odt", "pdf", "ppt", "pptx", "rdf", "rtf", "tsv", "txt", "xls", "xlsx", "xml", "zip")
+PAGE_TYPES = ("text/html", "application/xhtml+xml")
+DENIED_PREFIXES = ("/api/", "/search", "/email-signup", "/print/")
+
+
 class _Page(HTMLParser):
     """Links, language, text and JSON-LD of one page; scripts, styles and templates give no text."""
 
@@ -65,23 +91,38 @@ class _Page(HTMLParser):
             self.texts.append(data)
 
 
-def plain_text(value: str | None) -> str | None:
-    """Text of a fragment: tags dropped, entities resolved, white space collapsed, none before punctuation."""
-    if value is None:
-        return None
-    if "<" in value:
+#: Fixed value: the marks that no white space stands before.
+_TIGHT = r"\s+([,.;:!?])"
+
+
+def tidy(text: Column) -> Column:
+    """Runs of white space as one space, none outside and none before punctuation."""
+    return F.regexp_replace(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), _TIGHT, "$1")
+
+
+@F.pandas_udf(T.StringType())
+def _resolved(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else html.unescape(v))
+
+
+@F.pandas_udf(T.StringType())
+def _without_tags(values: pd.Series) -> pd.Series:
+    def one(value: str | None) -> str | None:
+        if value is None:
+            return None
         page = _Page()
         page.feed(value)
         page.close()
-        text = " ".join(page.texts)
-    else:
-        text = html.unescape(value)
-    return re.sub(r"\s+([,.;:!?])", r"\1", re.sub(r"\s+", " ", text).strip())
+        return " ".join(page.texts)
 
+    return values.map(one)
 
-@F.pandas_udf(T.StringType())
-def html_text(values: pd.Series) -> pd.Series:
-    return values.map(plain_text)
+
+def html_text(value: Column) -> Column:
+    """Text of a fragment: tags dropped, entities resolved, white space tidied. Only fragments with a tag are parsed, and only those with an entity reach Python otherwise."""
+    tagged, entity = F.contains(value, F.lit("<")), F.contains(value, F.lit("&"))
+    bare = F.when(~tagged & ~entity, value)
+    return tidy(F.coalesce(bare, _without_tags(F.when(tagged, value)), _resolved(F.when(~tagged & entity, value))))
 
 
 def _types(value, found: list[str]) -> None:
@@ -126,7 +167,7 @@ def page_parts(rows: DataFrame, key: str, page: str) -> DataFrame:
                         _types(json.loads(block), types)
                     except (ValueError, RecursionError):
                         continue
-                body = re.sub(r"\s+([,.;:!?])", r"\1", re.sub(r"\s+", " ", " ".join(p.texts)).strip())
+                body = re.sub(_TIGHT, r"\1", re.sub(r"\s+", " ", " ".join(p.texts)).strip())
                 out.append((k, p.language, body, [dict(zip(("tag", "href", "rel", "type"), x, strict=True)) for x in p.links], sorted(set(types))))
             yield pd.DataFrame(out, columns=[key, "language", "text", "links", "types"])
 
@@ -140,9 +181,14 @@ def page_links(parts: DataFrame, key: str) -> DataFrame:
 
 def is_resource(url: Column, mime: Column, hosts: list[str], host: Column) -> Column:
     """Whether a link is a resource: on a host of assets, with a document's extension, or of a declared type other than HTML."""
-    extension = F.regexp_extract(F.lower(url), r"\.([a-z0-9]{2,5})(?:[?#]|$)", 1).isin("pdf", "csv", "ods", "odt", "xls", "xlsx", "doc", "docx", "zip", "png", "jpg", "jpeg", "svg", "json", "xml")
-    declared = F.coalesce((mime != "") & ~F.lower(mime).startswith("text/html"), F.lit(False))
-    return host.isin(hosts) | extension | declared
+    extension = F.regexp_extract(F.lower(url), r"^(?:[a-z][a-z0-9+.-]*://[^/?#]*)?[^?#]*/[^/?#]*\.([a-z0-9]+)(?:[?#]|$)", 1).isin(*RESOURCE_EXTENSIONS)
+    declared = F.coalesce(~F.lower(mime).isin("", *PAGE_TYPES), F.lit(False))
+    return F.coalesce(host.isin(hosts), F.lit(False)) | F.coalesce(extension, F.lit(False)) | declared
+
+
+def denied(path: Column, prefixes: tuple[str, ...] | None = None) -> Column:
+    """Whether a path is one of those that are never read."""
+    return F.coalesce(reduce(lambda a, b: a | b, [F.startswith(path, F.lit(p)) for p in prefixes or DENIED_PREFIXES]), F.lit(False))
 
 
 def robots_rules(text: str, agent: str = "*") -> list[tuple[bool, str]]:
@@ -183,6 +229,22 @@ def markdown_links(rows: DataFrame, key: str, text: str) -> DataFrame:
     return each.select(key, "position", F.regexp_extract("m", r"\[([^\]]*)\]\(", 1).alias("label"), F.regexp_extract("m", r"\]\(([^)]+)\)", 1).alias("url"))
 
 
+def markdown_links_in_context(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, paragraph, context, position, label, url): inline links with the paragraph they stand in, without its marking, and its number. Paragraphs are parted by blank lines."""
+    parts = rows.select(key, F.posexplode(F.split(F.regexp_replace(F.col(text), "\r\n?", "\n"), r"\n[ \t]*(?:\n[ \t]*)+")).alias("paragraph", "_text"))
+    each = parts.select(key, "paragraph", "_text", F.posexplode(F.regexp_extract_all("_text", F.lit(r"(?:^|[^!])\[[^\]\n]*\]\([^)\s]+\)"), F.lit(0))).alias("position", "m"))
+    return each.select(key, "paragraph", strip_markdown(F.col("_text")).alias("context"), "position", F.regexp_extract("m", r"\[([^\]]*)\]\(", 1).alias("label"), F.regexp_extract("m", r"\]\(([^)]+)\)", 1).alias("url"))
+
+
+def search_parts(rows: DataFrame, key: str, parts: str) -> DataFrame:
+    """(key, part_key, part_index, part_link, part_slug, part_title, extract_text) of search results: `parts` holds a JSON array of objects with link, slug, title and body. The text of a body is that of its HTML;
+    parts without any are left out; what is no array has none."""
+    shape = "array<struct<link:string,slug:string,title:string,body:string>>"
+    held = F.when(F.col(parts).rlike(r"^\s*\["), F.from_json(parts, shape))
+    each = rows.select(key, F.posexplode(held).alias("part_index", "p")).select(key, "part_index", "p.*").withColumn("extract_text", html_text(F.col("body"))).where("extract_text <> ''")
+    return each.select(key, part_key(F.col(key).cast("string"), F.col("part_index"), F.col("link"), F.col("slug")).alias("part_key"), "part_index", F.col("link").alias("part_link"), F.col("slug").alias("part_slug"), F.coalesce("title", F.lit("")).alias("part_title"), "extract_text")
+
+
 def markdown_lines(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, position, level, title): the lines of Markdown texts, level 1 to 6 for headings, else 0."""
     lines = rows.select(key, F.posexplode(F.split(F.regexp_replace(F.col(text), "\r\n?", "\n"), "\n")).alias("position", "line"))

@@ -25,9 +25,12 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def first_seen(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert-or-ignore: the first row of each key, over all batches."""
-    return stream.dropDuplicates(list(keys))
+def first_seen(stream: DataFrame, keys: Sequence[str], time: str | None = None, within: str = "7 days") -> DataFrame:
+    """Insert-or-ignore: the first row of each key, over all batches. With a time column a key leaves the state once nothing of `within` it can come any more, so the state is bounded by the keys of that span;
+    without one every key is kept for good, which suits a set of keys of known size."""
+    if time is None:
+        return stream.dropDuplicates(list(keys))
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, within).dropDuplicatesWithinWatermark(list(keys))
 
 
 def windowed_counts(stream: DataFrame, time: str, by: Sequence[str], width: str = "1 hour", late: str | None = "1 day") -> DataFrame:

@@ -84,10 +84,11 @@ def test_pages_and_sitemaps(spark):
     rows = web.page_parts(column(spark, pages), "i", "x").orderBy("i").collect()
     assert rows[0]["language"] == "cy" and rows[0]["text"] == "One, two" and rows[0]["types"] == ["A", "B"] and rows[0]["links"][0]["href"] == "/a"
     assert rows[1]["text"] is None and rows[2]["text"] == "" and rows[3]["text"] == "x" and rows[3]["types"] == []
-    assert web.plain_text("a &amp; b <b>c</b> .") == "a & b c." and web.plain_text(None) is None
+    texts = spark.createDataFrame([("a &amp; b <b>c</b> .",), (None,), ("x  &lt; y ,z",), ("plain  text !",), ("<script>no</script> yes",)], "t string")
+    assert [r[0] for r in texts.select(web.html_text(F.col("t"))).collect()] == ["a & b c.", None, "x < y,z", "plain text!", "yes"]
     maps = ["<urlset><url><loc>u1</loc></url><url><loc>u2</loc><lastmod>d</lastmod></url></urlset>", '<sitemapindex xmlns="q"><sitemap><loc>s</loc><lastmod>e</lastmod></sitemap></sitemapindex>', None]
     got = sorted(map(tuple, web.sitemap_entries(column(spark, maps), "i", "x").collect()), key=str)
-    assert got == [(0, "url", "u1", None), (0, "url", "u2", None), (1, "sitemap", "s", "e")]
+    assert got == [(0, "url", "u1", None), (0, "url", "u2", "d"), (1, "sitemap", "s", "e")]
     links = web.markdown_links(column(spark, ["[a](b) ![i](j) [c](d)", None]), "i", "x").select("label", "url").collect()
     assert [tuple(r) for r in links] == [("a", "b"), ("c", "d")]
 
