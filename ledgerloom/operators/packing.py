@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import durable
+from ledgerloom.session import durable, scratch
 
 
 #: Rows that a task packs together: bounds its memory, whatever the size of a group.
@@ -156,6 +156,30 @@ def write_sharded(rows: DataFrame, path: str, shard: Sequence[str], order: Seque
     (writer.option("compression", "gzip") if kind == "json" else writer).format(kind).save(path)
 
 
+def write_content_addressed(rows: DataFrame, folder: str, order: Sequence[str], limit: int = 32 * 1024 * 1024, max_rows: int = 10_000) -> str:
+    """JSON lines in a total order (fields in order of their names, nulls kept), greedily in shards of at most `limit` bytes and max_rows lines, gzip, in a folder named by the SHA-256 of what it holds: that of each shard's
+    lines, in order. Returns the folder. Rows that are there already, written by whatever run and partitioning, give the same folder, which is left as it is."""
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, "content-addressed")
+    lines = rows.select(*order, F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("_line")).withColumn("_all", F.lit("")).withColumn("_bytes", F.octet_length("_line").cast("long") + 1)
+    keys = [f"_o{i}" for i in range(len(order))]
+    named = durable(lines.select("_all", *[F.col(o).alias(k) for o, k in zip(order, keys, strict=True)], "_bytes", "_line"), "lines")
+    packed = named.join(greedy_shards(named, "_all", keys, "_bytes", limit, max_rows).drop("_all", "_bytes").distinct(), keys)
+    packed.select("shard", *keys, F.col("_line").alias("value")).repartition("shard").sortWithinPartitions("shard", *keys).select("shard", "value").write.partitionBy("shard").option("compression", "gzip").text(path)
+    # A shard is bounded, so its lines meet in one task; the shards' digests are one row each, and go up by a tree.
+    shards = spark.read.text(path).groupBy("shard").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("value")), "\n"), 256).alias("own"))
+    from ledgerloom.operators.quality import ordered_digest
+
+    whole = ordered_digest(shards, [], F.concat_ws(":", F.lpad(F.col("shard").cast("string"), 10, "0"), "own")).first()
+    target = f"{folder}/{whole['digest'] if whole and whole['digest'] else 'empty'}"
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(Path(target)):
+        fs.mkdirs(Path(folder))
+        if not fs.rename(Path(path), Path(target)):
+            raise OSError(f"can't install {target}")
+    return target
+
+
 def write_canonical(rows: DataFrame, path: str, order: Sequence[str], max_records: int = 10_000) -> None:
     """JSON lines in a total order, fields in order of their names, nulls kept, gzip, at most max_records to a file."""
     ordered = rows.select(sorted(rows.columns)).repartitionByRange(*order).sortWithinPartitions(*order)

@@ -187,7 +187,7 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str], order:
 
 def topological_levels(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """(node, level): the longest way to each node of an acyclic graph; nodes on or behind a cycle have null. Each round takes off the nodes that nothing left points to; state is written tables."""
-    from ledgerloom.session import durable
+    from ledgerloom.session import discard, durable
 
     links = durable(edges.select(F.col("source").alias("a"), F.col("target").alias("b")).distinct(), "levels-links")
     left = durable(links.select(F.col("a").alias("node")).union(links.select("b")).distinct(), "levels-left")
@@ -198,8 +198,10 @@ def topological_levels(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
             rest = left.withColumn("level", F.lit(None).cast("int"))
             return rest if done is None else done.unionByName(rest)
         done = ready if done is None else done.unionByName(ready)
+        before = left, links
         left = durable(left.join(ready.select("node"), "node", "left_anti"), "levels-left")
         links = durable(links.join(ready.select(F.col("node").alias("a")), "a", "left_anti"), "levels-links")
+        discard(*before)
     raise ValueError("more levels than max_rounds")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -257,6 +259,12 @@ def ordered_digest(spark, folder):
     return quality.ordered_digest(table(spark, folder, "orders"), ["o_orderstatus"], F.concat_ws("|", "o_orderpriority", "o_custkey"))
 
 
+@query("SELECT o_custkey, count(*) AS n, sha256(string_agg(o_orderkey || '|' || o_orderpriority, chr(10) ORDER BY o_orderkey || '|' || o_orderpriority)) AS digest FROM orders GROUP BY o_custkey")
+def plain_digest(spark, folder):
+    """A digest of each customer's orders."""
+    return quality.plain_digest(table(spark, folder, "orders"), ["o_custkey"], F.concat_ws("|", "o_orderkey", "o_orderpriority"))
+
+
 @query()
 def closing_watermark(spark, folder):
     """The latest time of each disposition, its own or of its closing evidence, as its text stood: by validity, instant and text. Texts that are no time sort lowest; without any text it is empty."""
@@ -369,15 +377,20 @@ def paged_source(spark, folder):
     return rows.groupBy("entity_class").agg(F.count(F.lit(1)).alias("n"))
 
 
+@lru_cache(maxsize=1)
+def _classes(path: str) -> list:
+    import pyarrow.dataset as ds
+
+    return ds.dataset(path.removeprefix("file://")).to_table(columns=["entity_class"]).column(0).to_pylist()
+
+
 def page_of_file(leaf: str, offset: int, limit: int) -> list[dict]:
-    """Rows offset.. of every n-th row of a parquet file or folder, as a service would page them."""
+    """Rows offset.. of every n-th row of a parquet file or folder, as a service would page them. The file must be where the executors can open it."""
     import json
 
-    import pyarrow.dataset as ds
-
     path, part, parts = json.loads(leaf)
-    rows = ds.dataset(path.removeprefix("file://")).to_table(columns=["entity_class"]).to_pylist()
-    return rows[part::parts][offset : offset + limit]
+    rows = _classes(path)
+    return [{"entity_class": x} for x in rows[part::parts][offset : offset + limit]]
 
 
 @query("SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id")

@@ -38,6 +38,17 @@ def test_greedy_packing_equals_the_plain_loop(spark, monkeypatch, chunk, limit,
     assert got == greedy(rows, limit, most)
 
 
+def test_content_addresses_follow_the_content(spark, tmp_path):
+    rows = spark.createDataFrame([(i, None if i % 5 == 0 else "x" * (i % 7)) for i in range(60)], "k int, v string")
+    one = packing.write_content_addressed(rows.repartition(5), f"file://{tmp_path}/a", ["k"], 200)
+    same = packing.write_content_addressed(rows.orderBy(F.desc("k")).coalesce(1), f"file://{tmp_path}/a", ["k"], 200)
+    other = packing.write_content_addressed(rows.where("k <> 7"), f"file://{tmp_path}/a", ["k"], 200)
+    assert one == same != other
+    back = spark.read.text(one)
+    assert sorted(json.loads(r["value"])["k"] for r in back.collect()) == list(range(60))
+    assert max(sum(len(r["value"]) + 1 for r in back.where(F.col("shard") == s["shard"]).collect()) for s in back.select("shard").distinct().collect()) <= 200
+
+
 def test_packing_of_nothing(spark):
     assert packing.greedy_shards(spark.createDataFrame([], "g string, k int, s long"), "g", ["k"], "s", 5).collect() == []
 
