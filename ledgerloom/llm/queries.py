@@ -78,7 +78,7 @@ def _fold(column: str) -> str:
 
 def _grams(key: str, name: str) -> str:
     words = f"SELECT {key}, regexp_extract_all(lower({_fold('text')}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {name} WHERE text IS NOT NULL"
-    return f"(SELECT {key}, list_slice(w, CAST(i AS BIGINT), CAST(i + 11 AS BIGINT)) AS g FROM ({words}), range(1, 20000) r(i) WHERE i + 11 <= len(w))"
+    return f"(SELECT {key}, i AS at, list_slice(w, CAST(i AS BIGINT), CAST(i + 11 AS BIGINT)) AS g FROM ({words}), range(1, 20000) r(i) WHERE i + 11 <= len(w))"
 
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -90,9 +90,15 @@ WITH once AS (SELECT posting_id, any_value(token) AS token, any_value(rid) AS ri
  g AS (SELECT token, CAST(sum(coalesce(tf, 0)) AS BIGINT) AS occurrences, count(DISTINCT rid) AS records FROM rows WHERE length(token) >= 2 AND token NOT IN ({_STOP}) GROUP BY token),
  t AS (SELECT *, CASE WHEN records <= 2 THEN 'rare' WHEN records * 5 >= n_records THEN 'common' END AS mark FROM g, n)
 """
+_LEAKS = f"WITH d AS {_grams('doc_id', 'documents')}, e AS {_grams('item_id', 'eval_items')}, m AS (SELECT doc_id, item_id, d.at AS da, e.at AS ea FROM d JOIN e USING (g)) "
 #: DuckDB can't fold within JSON, run a transducer or decode one; those queries are tested against brute force and two libraries.
 SQL: dict[str, str] = {
     "p5_terms": _TERMS + "SELECT token, occurrences, records, n_records, mark FROM t",
     "p5_found": _TERMS + "SELECT token, mark FROM t WHERE mark IS NOT NULL",
-    "p9_found": f"WITH d AS {_grams('doc_id', 'documents')}, e AS {_grams('item_id', 'eval_items')} SELECT DISTINCT doc_id, item_id FROM d JOIN e USING (g)",
+    "p9_found": _LEAKS + "SELECT DISTINCT doc_id, item_id FROM m",
+    # Runs of places that go on together in both texts; of the longest the first in the document, then in the item.
+    "p9_leaks": _LEAKS + """, r AS (SELECT *, da - row_number() OVER (PARTITION BY doc_id, item_id, da - ea ORDER BY da) AS run FROM m),
+ s AS (SELECT doc_id, item_id, count(*) + 11 AS n, min(da) - 1 AS dw, min(ea) - 1 AS ew FROM r GROUP BY doc_id, item_id, da - ea, run)
+ SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_words, CAST(dw AS INTEGER) AS doc_word, CAST(ew AS INTEGER) AS item_word FROM s QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, dw, ew) = 1""",
+    "p9_clean": _LEAKS + "SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM m)",
 }
