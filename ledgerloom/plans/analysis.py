@@ -401,11 +401,11 @@ def stream_first_seen(spark, folder):
     return seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_windowed_counts(spark, folder):
     """Hourly counts of a stream at its end, open windows too. The input is finite and its files come in no order of time, so nothing counts as late."""
     counts = queue.windowed_counts(queue.stream_of(spark, folder, "events"), "ts", ["event_type"], late=None)
-    return queue.run_updates(counts, ["window_start", "event_type"]).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    return queue.run_updates(counts, ["window_start", "event_type"])
 
 
 @query()

@@ -42,13 +42,13 @@ def test_pages_hold_whole_documents(spark, tmp_path):
     assert links == [(k, i, *x) for k, own in want for i, x in enumerate(own)]
 
 
-RECORD = "rid long, open string, title string, publisher string, description string, document_type string, schema_name string, url string, language string, lifecycle string"
+RECORD = "rid long, open string, title string, publisher string, description string, document_type string, schema_name string, url string, language string, lifecycle string, tags string, title_key string, content_id string"
 
 
 def test_long_lists_are_searched_whole(spark, tmp_path):
-    """All records of few tokens, more than the SQL's 200 and fewer than the 2,000 of each: those that hold both tokens are the last of the one list."""
+    """All records of few tokens, fewer than the 2,000 that a list keeps: those that hold both tokens are the last of the one list."""
     titles = [" ".join(["canal"] + ["seasonal"] * (i >= 300) + ["contractor", "quarry"] * (i < 310)) for i in range(700)]
-    folder = put(spark, tmp_path, "records", [(i, f"o{i}", t, *[None] * 7) for i, t in enumerate(titles)], RECORD)
+    folder = put(spark, tmp_path, "records", [(i, f"o{i}", t, *[None] * 10) for i, t in enumerate(titles)], RECORD)
     lists = {r["token"]: r["n"] for r in catalogue.QUERIES["postings_topk"](spark, folder).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert lists == {"canal": 700, "seasonal": 400, "contractor": 310, "quarry": 310}
     both = list(range(300, 310))
