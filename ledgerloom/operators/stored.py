@@ -7,6 +7,7 @@ only their folders, files and row groups are read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.identity import adjacency_bucket, search_shard
 from ledgerloom.operators import graph, index, packing
-from ledgerloom.session import durable
+from ledgerloom.session import durable, read_text, write_text
 
 #: Documents of a chunk, and bytes of a postings partition.
 CHUNK = 1000
@@ -63,16 +64,19 @@ def write_index(rows: DataFrame, ordinal: str, fields: Mapping[str, Column], tex
 
 
 def _write_sorted(df: DataFrame, path: str, by: str, order: Sequence[str]) -> None:
-    df.withColumn("lead", F.left(by, F.lit(1))).repartitionByRange(by, *order).sortWithinPartitions("lead", by, *order).write.partitionBy("lead").parquet(path)
+    """Written by folders of the first letter, with the schema beside them: a table without rows has no file that could tell it."""
+    led = df.withColumn("lead", F.left(by, F.lit(1)))
+    led.repartitionByRange(by, *order).sortWithinPartitions("lead", by, *order).write.partitionBy("lead").parquet(path)
+    write_text(df.sparkSession, f"{path}/_schema.json", led.schema.json())
 
 
 _schemas: dict[str, T.StructType] = {}
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    """A table as it was written, its schema found once. Its folders are letters and digits, read as text."""
+    """A table as it was written. Its folders are letters and digits, read as text."""
     if path not in _schemas:
-        _schemas[path] = T.StructType([f if f.name != "lead" else T.StructField("lead", T.StringType()) for f in spark.read.parquet(path).schema])
+        _schemas[path] = T.StructType.fromJson(json.loads(read_text(spark, f"{path}/_schema.json")))
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
@@ -93,7 +97,8 @@ class SearchIndex:
         self.spark, self.path = spark, path
 
     def table(self, name: str) -> DataFrame:
-        return _read(self.spark, f"{self.path}/{name}")
+        path = f"{self.path}/{name}"
+        return self.spark.read.parquet(path) if name in ("documents", "statistics") else _read(self.spark, path)
 
     def _parts(self, keys: DataFrame, key: str, *names: str) -> list[DataFrame]:
         """The parts of sharded tables that the keys (of a column) fall into."""

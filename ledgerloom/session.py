@@ -153,6 +153,23 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if sum(-(-n // split) for n in sizes) < cores else scan
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in the shared folder."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that no later plan reads."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -46,7 +46,7 @@ def hollow(spark, tmp_path_factory):
 
 
 #: The general operators, and those others that collect something or work in rounds.
-HOLLOW = [*sorted(general.QUERIES), "keyword_search", "bm25_topk", "dense_ordinals", "wide_shards", "greedy_shards", "recursive_closure", "two_hop", "topological_levels", "ir_metrics", "near_misses", "stratified_fill", "least_cost_assignment", "jsonl_round_trip"]
+HOLLOW = [*sorted(general.QUERIES), "keyword_search", "bm25_topk", "dense_ordinals", "wide_shards", "greedy_shards", "recursive_closure", "two_hop", "topological_levels", "ir_metrics", "near_misses", "stratified_fill", "least_cost_assignment", "jsonl_round_trip", "suggestions", "bucket_traverse", "exact_search", "one_match", "citation_gate", "percentile_nearest_rank"]
 
 
 @pytest.mark.parametrize("name", HOLLOW)
