@@ -13,7 +13,7 @@ from ledgerloom.session import durable
 
 #: The systems under comparison, by name: role, retrieval, and whether edges, trust signals, inferred text and the answerability classifier are used; single_source narrows the inventory.
 SYSTEMS = {
-    "proposal-okf-graph": ("proposal", "typed", True, True, True, True, False),
+    "proposal-graph": ("proposal", "typed", True, True, True, True, False),
     "baseline-exact-known-item": ("baseline", "exact", False, False, False, False, False),
     "baseline-flat-metadata-fts": ("baseline", "flat", False, False, False, False, False),
     "baseline-typed-metadata-fts": ("baseline", "native", False, True, False, False, False),
