@@ -109,3 +109,17 @@ def test_outcomes_are_one_plan_for_all_systems(spark, tmp_path):
     by = {s: sorted(tuple(r[c] for c in r.asDict() if c != "system") for r in got if r["system"] == s) for s in {r["system"] for r in got}}
     assert by["proposal-graph"] == by["control-expanded-jsonld"] == by["control-expanded-yamlld"] and by["proposal-graph"]
     assert jobs <= JOBS, jobs
+
+
+def test_slices_start_no_plan_for_each_system(spark, tmp_path):
+    folder, rows = _records(spark, tmp_path)
+    got, jobs = _jobs(spark, "slices", lambda: catalogue.QUERIES["system_slices"](spark, folder).collect())
+    cell = {(r["dimension"], r["value"], r["system"]): r for r in got}
+    asked = [r for r in rows if r[0] % 100 == 0]
+    wide = {"all": lambda r: "all", "language": lambda r: r[9], "document_type": lambda r: r[6], "schema_name": lambda r: r[7], "lifecycle": lambda r: r[8], "jurisdiction": lambda r: r[10], "publisher": lambda r: r[5]}
+    for dimension, of in wide.items():
+        values = [of(r) for r in asked]
+        assert {k[1]: r["n"] for k, r in cell.items() if k[0] == dimension and k[2] == "proposal-graph"} == {v: values.count(v) for v in values}
+        assert all(cell[dimension, v, "baseline-exact-known-item"]["avg_recall"] == 1.0 for v in values)
+    assert len({k[2] for k in cell}) == 10 and cell["all", "all", "proposal-graph"]["avg_n_results"] == 10.0
+    assert jobs <= JOBS, jobs
